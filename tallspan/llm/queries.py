@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from .bpe import op5
+from .quality_rules import op7
 from .token_counts import op8
+from .toxicity import op10
 
 QUERIES = {
     "op5_byte_bpe": op5,
+    "op7_quality_rules": op7,
     "op8_token_counts": op8,
+    "op10_toxicity": op10,
 }
 
 ORACLE_SQL: dict[str, str] = {}
