@@ -18,7 +18,7 @@ from collections.abc import Sequence
 import regex
 from pyspark.sql import DataFrame
 
-from .common import MEMO, map_rows, prepare, texts
+from .common import MEMO, Memo, map_rows, prepare, texts
 
 #: Bytes up to which a span is merged directly.
 LEAF = 16
@@ -35,7 +35,7 @@ class TreeBPE:
         self.by_name = {str(i): b for b, i in ranks.items()}
         self.find = regex.compile(pattern).findall
         self._holds: dict[tuple[int, int], bool] = {}
-        self._named = _Named(self)
+        self._named = Memo(lambda piece: " ".join(map(str, self.encode_span(piece.encode()))))
 
     def merge(self, raw: bytes) -> list[int]:
         """Lowest rank first, leftmost of equals: the definition, for short spans."""
@@ -100,19 +100,6 @@ class TreeBPE:
         return concatenated(list(map(self.by_name.__getitem__, ids.split()))) if ids else b""
 
 
-class _Named(dict):
-    def __init__(self, bpe: TreeBPE):
-        self.bpe = bpe
-
-    def __missing__(self, piece: str) -> str:
-        if len(self) > MEMO:
-            self.clear()
-        out = " ".join(map(str, self.bpe.encode_span(piece.encode())))
-        if len(piece) < 64:
-            self[piece] = out
-        return out
-
-
 def concatenated(parts: list[bytes], fan: int = 256) -> bytes:
     """Bytes of token strings, joined level by level."""
     while len(parts) > 1:

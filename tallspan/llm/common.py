@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 #: Rows and bytes of an Arrow batch: texts can be long, so a batch is bounded by bytes as well.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 #: Entries of a per-worker memo before it is emptied; bounds the memory of a Python worker.
-MEMO = 300_000
+MEMO = 400_000
 
 _shipped: set[str] = set()
 
@@ -78,6 +78,23 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
 
 
+class Memo(dict):
+    """Results of a function by its argument, long ones apart; two generations, so what is used again outlives the clearing."""
+
+    def __init__(self, compute: Callable, most: int = MEMO):
+        self.compute, self.most, self.old = compute, most, {}
+
+    def __missing__(self, key):
+        if (out := self.old.get(key)) is None:
+            out = self.compute(key)
+        if len(key) <= 64:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = out
+        return out
+
+
 class WordCodes(dict):
     """Word (bytes) to a small number, exact within a worker; hashes holds a 64-bit hash that is the same everywhere."""
 
@@ -99,6 +116,10 @@ class WordCodes(dict):
             self._filled = 0
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
+    def hashes_of(self, words: list[bytes]) -> np.ndarray:
+        codes = self.of(words)  # first: it may enlarge the hashes
+        return self.hashes[codes]
+
 
 def word_hash(word: bytes) -> int:
     """64 bits from two differently salted checksums, finished by a mixer."""
@@ -129,3 +150,15 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
 def fraction(df: DataFrame, key: str, share: float) -> DataFrame:
     """A share of the rows, chosen by a hash of the key, alike on every run."""
     return df if share >= 1 else df.filter(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+
+#: Rows of a side of ids up to which it is broadcast (some 16 MB); larger sides are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def flagged(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """docs with a boolean: whether doc_id is in ids (one column doc_id). ids is broadcast only after a count."""
+    ids = ids.filter(F.col("doc_id").isNotNull()).distinct().withColumn(name, F.lit(True))
+    if ids.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))

@@ -18,7 +18,7 @@ from itertools import accumulate
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import MEMO, map_rows, prepare, read, texts
+from .common import MEMO, Memo, map_rows, prepare, read, texts
 
 MARK = "▁"
 #: Piece types of the model format.
@@ -34,21 +34,24 @@ class PrefixCounter:
         norm = proto.normalizer_spec
         if proto.trainer_spec.model_type != 2 or norm.precompiled_charsmap and norm.name != "identity" or norm.remove_extra_whitespaces or proto.trainer_spec.treat_whitespace_as_suffix:
             raise ValueError("a BPE model without normalisation is needed")
+        if not proto.trainer_spec.byte_fallback:
+            raise ValueError("a model with byte pieces is needed")
         if any(p.type not in (NORMAL, 2, CONTROL, BYTE) for p in proto.pieces):
             raise ValueError("models with user-defined or unused pieces are not supported")
-        self.dummy, self.fallback = norm.add_dummy_prefix, proto.trainer_spec.byte_fallback
+        self.dummy = norm.add_dummy_prefix
         #: piece -> order of merging; larger scores merge first, so ranks are comparable across pieces
         self.rank = {p.piece: -p.score for p in proto.pieces if p.type == NORMAL}
-        self.longest = max(map(len, self.rank))
-        self.ends: dict[str, list[int]] = {}
-        for p in self.rank:
-            self.ends.setdefault(p[-1], set()).add(len(p))
-        self.ends = {c: sorted(s, reverse=True) for c, s in self.ends.items()}
+        #: the last two characters of pieces -> their lengths, longest first
+        self.ends: dict[str, tuple[int, ...]] = {}
+        for p in sorted(self.rank, key=len, reverse=True):
+            if len(p) > 1 and len(p) not in (known := self.ends.get(p[-2:], ())):
+                self.ends[p[-2:]] = (*known, len(p))
         inner = any(MARK in p.lstrip(MARK) for p in self.rank)
         #: a unit is marks and what follows up to the next mark; with marks inside pieces the text is one unit
         self.units = (lambda s: [s]) if inner else re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
         self._holds: dict[tuple[str, str], bool] = {}
-        self._totals = _Totals(self)
+        self._states = Memo(self._state, MEMO)
+        self._totals = Memo(self._total, MEMO)
 
     def normal(self, text: str) -> str:
         return (MARK if self.dummy and text else "") + text.replace(" ", MARK)
@@ -74,30 +77,43 @@ class PrefixCounter:
             known = self._holds[a, b] = self.merge(a + b) == [a, b]
         return known
 
+    def alone(self, c: str) -> int:
+        """Tokens of a character by itself: a piece, or its bytes."""
+        return 1 if c in self.rank else len(c.encode())
+
     def table(self, unit: str) -> list[int]:
-        """Tokens of unit[:i] for each i from 1: the whole row of the dynamic program."""
+        """Tokens of unit[:i] for each i from 1: the whole table of the dynamic program."""
         last: list[str] = []
         count: list[int] = []
-        rank, ends, holds = self.rank, self.ends, self.holds
-        for i, c in enumerate(unit, 1):
-            for n in ends.get(c, ()):
-                if n <= i and (t := unit[i - n : i]) in rank:
-                    if n == i:
-                        if self.merge(t) == [t]:
-                            last.append(t)
-                            count.append(1)
-                            break
-                    elif holds(last[i - n - 1], t):
-                        last.append(t)
-                        count.append(count[i - n - 1] + 1)
-                        break
-            else:  # no piece: the character alone, by its bytes where the model has them, joined to unknown neighbours else
-                before = count[-1] if count else 0
-                joined = not self.fallback and i > 1 and last[-1] not in rank
-                last.append(c)
-                count.append(before + (len(c.encode()) if self.fallback else 1 - joined))
+        for i in range(1, len(unit) + 1):
+            for n in self.ends.get(unit[max(0, i - 2) : i], ()):
+                if n <= i and (t := unit[i - n : i]) in self.rank and (self.merge(t) == [t] if n == i else self.holds(last[i - n - 1], t)):
+                    last.append(t)
+                    count.append(count[i - n - 1] + 1 if n < i else 1)
+                    break
+            else:
+                last.append(c := unit[i - 1])
+                count.append((count[-1] if count else 0) + self.alone(c))
         return count
 
+    def _state(self, prefix: str) -> tuple[str, int]:
+        """Last token and count of a prefix, from the states of the shorter prefixes that it needs."""
+        i = len(prefix)
+        for n in self.ends.get(prefix[-2:], ()):
+            if n <= i and (t := prefix[i - n :]) in self.rank:
+                if n == i:
+                    if self.merge(t) == [t]:
+                        return t, 1
+                else:
+                    before = self._states[prefix[: i - n]]
+                    if self.holds(before[0], t):
+                        return t, before[1] + 1
+        c = prefix[-1]
+        return c, (self._states[prefix[:-1]][1] if i > 1 else 0) + self.alone(c)
+
+    def _total(self, unit: str) -> int:
+        return (self._state(unit) if len(unit) <= 64 else (None, self.table(unit)[-1]))[1]
+
     def prefix_counts(self, text: str) -> np.ndarray:
         """Tokens of text[:i] for each i from 0 to its length."""
         s, out, base = self.normal(text), [], 0
@@ -136,19 +152,6 @@ class PrefixCounter:
         return sums[-1], 0
 
 
-class _Totals(dict):
-    def __init__(self, counter: PrefixCounter):
-        self.counter = counter
-
-    def __missing__(self, unit: str) -> int:
-        if len(self) > MEMO:
-            self.clear()
-        n = self.counter.table(unit)[-1]
-        if len(unit) < 64:
-            self[unit] = n
-        return n
-
-
 _made: dict[tuple[str, int], PrefixCounter] = {}
 
 
