@@ -162,3 +162,8 @@ def flagged(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     return docs.join(ids, "doc_id", "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+
+
+def flagged_values(docs: DataFrame, few: DataFrame, bound: int) -> DataFrame:
+    """docs with a row in few, joined on doc_id. few has at most bound rows by its own limit, so it may be broadcast."""
+    return docs.join(F.broadcast(few.limit(bound)), "doc_id")

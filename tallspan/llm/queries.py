@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from .bpe import op5
+from .quality_model import op2
 from .quality_rules import op7
+from .sharding import op6
 from .token_counts import op8
 from .toxicity import op10
 
 QUERIES = {
+    "op2_quality_classifier": op2,
     "op5_byte_bpe": op5,
+    "op6_sharding": op6,
     "op7_quality_rules": op7,
     "op8_token_counts": op8,
     "op10_toxicity": op10,
