@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op5
+from .pii import op9
 from .quality_model import op2
 from .quality_rules import op7
 from .sharding import op6
@@ -15,6 +16,7 @@ QUERIES = {
     "op6_sharding": op6,
     "op7_quality_rules": op7,
     "op8_token_counts": op8,
+    "op9_pii": op9,
     "op10_toxicity": op10,
 }
 
