@@ -263,8 +263,21 @@ class Tagger:
         return [runs(tags[i], text) if i in tags else [] for i, text in enumerate(many)]
 
 
+def plausible(kind: str, s: str) -> bool:
+    """The checks of the base patterns, whatever the form: an added span must be able to be what it is called."""
+    d = _digits(s)
+    if kind == "card":
+        return 16 <= len(d) <= 19 and luhn(d)
+    if kind == "phone":
+        return 8 <= len(d) <= 15
+    if kind == "ip":
+        parts = re.findall("[0-9]+", s)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    return "@" in s or " at " in s if kind == "email" else bool(d)
+
+
 def runs(tags: np.ndarray, text: str) -> list[Span]:
-    """Runs of one kind, cut where a new span begins; blanks at the rims go, and so do runs without digit or at sign."""
+    """Runs of one kind, cut where a new span begins; blanks at the rims go, and so do implausible runs."""
     out, kind = [], np.where(tags > 0, (tags + 1) // 2, 0)
     at = np.flatnonzero(kind)
     if not len(at):
@@ -274,7 +287,7 @@ def runs(tags: np.ndarray, text: str) -> list[Span]:
         a, b = int(part[0]), int(part[-1]) + 1
         s = text[a:b]
         a, b = a + len(s) - len(s.lstrip()), b - len(s) + len(s.rstrip())
-        if b - a >= 6 and _SIGNAL.search(text, a, b):
+        if b - a >= 6 and plausible(KINDS[kind[part[0]] - 1], text[a:b]):
             out.append((KINDS[kind[part[0]] - 1], a, b))
     return out
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op5
+from .decontamination import OP3_SQL, op3
 from .pii import op9
 from .quality_model import op2
 from .quality_rules import op7
@@ -12,6 +13,7 @@ from .toxicity import op10
 
 QUERIES = {
     "op2_quality_classifier": op2,
+    "op3_decontamination": op3,
     "op5_byte_bpe": op5,
     "op6_sharding": op6,
     "op7_quality_rules": op7,
@@ -20,4 +22,6 @@ QUERIES = {
     "op10_toxicity": op10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": OP3_SQL,
+}
