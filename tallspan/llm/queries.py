@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op5
 from .decontamination import OP3_SQL, op3
+from .near_dedup import op1
 from .pii import op9
 from .quality_model import op2
 from .quality_rules import op7
@@ -12,6 +13,7 @@ from .token_counts import op8
 from .toxicity import op10
 
 QUERIES = {
+    "op1_near_dedup": op1,
     "op2_quality_classifier": op2,
     "op3_decontamination": op3,
     "op5_byte_bpe": op5,
