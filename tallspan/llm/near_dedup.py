@@ -24,21 +24,19 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import pairs_in_blocks, still_open
 from .common import BROADCAST_ROWS, WordCodes, mix, prepare, read, shingle_hashes, with_checkpoints
 from .components import components
 
 SHINGLE, SIMILARITY, LENGTH, SKETCHES = 5, 0.8, 6, 40
 #: Bins of the digest that rules out pairs far below the similarity before their texts are fetched.
 BINS = 512
-#: Texts of a bucket that one block holds.
-BLOCK = 1024
 
 _A = (np.random.default_rng(31).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _B = np.random.default_rng(32).integers(1, 1 << 63, SKETCHES, dtype=np.uint64)
@@ -83,6 +81,12 @@ def maybe_similar(one: np.ndarray, many: np.ndarray, total: np.ndarray) -> np.nd
     return same >= filled * (SIMILARITY - 3.5 * np.sqrt(SIMILARITY * (1 - SIMILARITY) / filled * left))
 
 
+def allowed(one: np.ndarray, many: np.ndarray, n: int, ns: np.ndarray) -> np.ndarray:
+    ok = np.minimum(ns, n) >= SIMILARITY * np.maximum(ns, n)
+    ok[ok] = maybe_similar(one, many[ok], ns[ok] + n)
+    return ok
+
+
 def order_minhash(labelled: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """A value for each sketch of the labelled shingle hashes."""
     v = (labelled[None, :] ^ _B[:, None]) * _A[:, None]
@@ -161,48 +165,6 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "node binary, n int, digest binary, buckets array<long>").dropDuplicates(["node"])
 
 
-def agreeing(open_: DataFrame) -> DataFrame:
-    """a, b: texts of one bucket in different groups whose digests allow a link.
-
-    open_ has bucket, node, n, component, size (of the bucket), digest. A bucket's texts are dealt into chunks;
-    every two chunks meet in one block of at most some 2 * BLOCK rows, whatever the bucket's size.
-    """
-    chunks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = open_.withColumn("own", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    keyed = dealt.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "component", "digest")
-    blocks = keyed.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-
-    def pairs_of(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-        _, low, high = rows[0][:3]
-        own = np.array([r[3] for r in rows])
-        n = np.array([r[5] for r in rows])
-        names = {c: i for i, c in enumerate({r[6] for r in rows})}
-        group, digests = np.array([names[r[6]] for r in rows]), np.stack([np.frombuffer(r[7], np.uint8) for r in rows])
-        if len(names) < 2:
-            return
-        for i in np.flatnonzero(own == low):
-            later = np.flatnonzero(own == high) if low != high else np.arange(i + 1, len(rows))
-            later = later[(group[later] != group[i]) & (np.minimum(n[later], n[i]) >= SIMILARITY * np.maximum(n[later], n[i]))]
-            for j in later[maybe_similar(digests[i], digests[later], n[later] + n[i])]:
-                yield tuple(sorted((rows[i][4], rows[j][4])))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def all_rows() -> Iterator[tuple]:
-            for b in batches:
-                yield from zip(*(b.column(c).to_pylist() for c in ("bucket", "low", "high", "own", "node", "n", "component", "digest")), strict=True)
-
-        out: set[tuple[bytes, bytes]] = set()
-        for _, rows in groupby(all_rows(), key=lambda r: r[:3]):
-            out.update(pairs_of(list(rows)))
-            if len(out) > 10_000:
-                yield pa.RecordBatch.from_pydict({"a": [a for a, _ in out], "b": [b for _, b in out]}, schema=target)
-                out = set()
-        yield pa.RecordBatch.from_pydict({"a": [a for a, _ in out], "b": [b for _, b in out]}, schema=target)
-
-    return blocks.mapInArrow(run, "a binary, b binary").distinct()
-
-
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of pairs (a, b) whose texts align; only texts that occur in a pair are moved."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().checkpoint()
@@ -250,7 +212,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = known.join(lead, "bucket").filter(apart & (F.col("component") != F.col("lead.component"))).select(*couple).distinct().join(pairs, ["a", "b"], "left_anti").checkpoint()
         links = links.unionByName(verified(pairs, docs)).checkpoint()
         groups = components(links).checkpoint()
-    rest = agreeing(still_open(members, groups).join(sketched.select("node", "digest"), "node")).checkpoint()
+    rest = pairs_in_blocks(still_open(members, groups).join(sketched.select("node", "digest"), "node"), allowed, "binary").checkpoint()
     if not rest.isEmpty():
         groups = components(links.unionByName(verified(rest, docs)))
     narrow = docs.select("doc_id", "node").join(groups, "node", "left").select("doc_id", F.coalesce("component", "node").alias("class"))
@@ -258,12 +220,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return narrow.join(ids, "class").select("doc_id", "class_id", "n_rows")
 
 
-def still_open(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """bucket, node, n, size, component of the members of buckets that hold more than one group."""
-    known = members.select("bucket", "node", "n", "size").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = known.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("bucket")
-    return known.join(several, "bucket").checkpoint()
-
-
 def op1(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
