@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .components import settled
+
 #: Rows of a bucket that one chunk holds, on average; a block is one chunk against another.
 CHUNK = 1024
 
@@ -18,48 +20,53 @@ def still_open(members: DataFrame, groups: DataFrame) -> DataFrame:
     """bucket, node, n, size, component of the members of buckets that hold more than one group."""
     known = members.select("bucket", "node", "n", "size").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = known.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("bucket")
-    return known.join(several, "bucket").checkpoint()
+    return settled(known.join(several, "bucket"))
 
 
 def pairs_in_blocks(rows: DataFrame, allowed: Callable, node_type: str) -> DataFrame:
-    """a, b: nodes of one bucket in different groups that allowed() lets through, each pair once.
+    """a, b: nodes of one bucket in different groups that allowed() lets through.
+
+    A pair that meets in several buckets is given by the least of them only: each row knows its node's buckets.
 
     rows has bucket, node, n, component, size (of the bucket) and digest (bytes). A bucket is dealt into chunks;
     every two of them meet in one block, whatever the bucket's size. allowed(digest, digests, n, ns) is a mask.
     """
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    rows = rows.join(rows.groupBy("node").agg(F.collect_set("bucket").alias("all")), "node")
     dealt = rows.withColumn("own", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    keyed = dealt.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "component", "digest")
+    keyed = dealt.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "component", "digest", "all")
     blocks = keyed.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     kind = {"binary": pa.binary(), "long": pa.int64()}[node_type]
     target = pa.schema([("a", kind), ("b", kind)])
-    names = ("bucket", "low", "high", "own", "node", "n", "component", "digest")
+    names = ("bucket", "low", "high", "own", "node", "n", "component", "digest", "all")
 
     def pairs_of(block: list[tuple]) -> Iterator[tuple]:
-        _, low, high = block[0][:3]
+        bucket, low, high = block[0][:3]
         groups = {c: i for i, c in enumerate({r[6] for r in block})}
         if len(groups) < 2:
             return
         own, n = np.array([r[3] for r in block]), np.array([r[5] for r in block])
         group, digests = np.array([groups[r[6]] for r in block]), np.stack([np.frombuffer(r[7], np.uint8) for r in block])
+        all_ = [set(r[8]) for r in block]
         for i in np.flatnonzero(own == low):
             later = np.flatnonzero(own == high) if low != high else np.arange(i + 1, len(block))
             later = later[group[later] != group[i]]
             for j in later[allowed(digests[i], digests[later], n[i], n[later])]:
-                yield tuple(sorted((block[i][4], block[j][4])))
+                if bucket == min(all_[i] & all_[j]):
+                    yield tuple(sorted((block[i][4], block[j][4])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: set[tuple] = set()
+        out: list[tuple] = []
 
         def batch() -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({"a": [a for a, _ in out], "b": [b for _, b in out]}, schema=target)
 
         every = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in names), strict=True))
         for _, block in groupby(every, key=lambda r: r[:3]):
-            out.update(pairs_of(list(block)))
+            out += pairs_of(list(block))
             if len(out) > 10_000:
                 yield batch()
-                out = set()
+                out = []
         yield batch()
 
-    return blocks.mapInArrow(run, f"a {node_type}, b {node_type}").distinct()
+    return blocks.mapInArrow(run, f"a {node_type}, b {node_type}")

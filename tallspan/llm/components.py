@@ -5,6 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Rows that one partition of a small intermediate table holds at least.
+ROWS_EACH = 200_000
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df cut off in the checkpoint folder, in no more partitions than its rows call for (and a few)."""
+    df = df.checkpoint()
+    return df.coalesce(df.count() // ROWS_EACH + 8)
+
 
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its least node) of every node of edges (a, b).
@@ -12,13 +21,25 @@ def components(edges: DataFrame) -> DataFrame:
     Each round a node takes the least label of its neighbours, then its label's label; paths halve. Every round
     is cut off in the checkpoint folder, and only the number of changes comes to the driver.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter(~F.col("a").eqNullSafe(F.col("b"))).distinct().checkpoint()
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("component"))
+    edges = edges.select("a", "b").filter("a <> b")
+    both = settled(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("component")))
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), F.col("component").alias("of")), "b").groupBy(F.col("a").alias("node")).agg(F.min("of").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("component")).checkpoint()
+        step = settled(labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("component")))
+        if step.filter("was <> component").isEmpty():
+            return step.select("node", "component")
         jump = step.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        labels = step.join(jump, "component", "left").select("node", "was", F.least("component", F.coalesce("next", "component")).alias("component")).checkpoint()
-        if labels.filter("was <> component").isEmpty():
-            return labels.select("node", "component")
-        labels = labels.select("node", "component")
+        labels = settled(step.join(jump, "component", "left").select("node", F.least("component", F.coalesce("next", "component")).alias("component")))
+
+
+def joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """groups (node, component) with further links (a, b): only what they connect is worked over."""
+    if links.isEmpty():
+        return groups
+    lifted = links.join(groups.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a", "left").join(groups.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b", "left")
+    lifted = settled(lifted.select("a", "b", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")))
+    over = components(lifted.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    every = groups.unionByName(lifted.select(F.col("a").alias("node"), F.col("of_a").alias("component"))).unionByName(lifted.select(F.col("b").alias("node"), F.col("of_b").alias("component"))).distinct()
+    over = over.select(F.col("node").alias("component"), F.col("component").alias("over"))
+    return settled(every.join(over, "component", "left").select("node", F.coalesce("over", "component").alias("component")))

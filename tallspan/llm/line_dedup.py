@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .blocks import pairs_in_blocks, still_open
 from .common import BROADCAST_ROWS, prepare, read, with_checkpoints
-from .components import components
+from .components import components, joined, settled
 
 EDITS, MIN_CHARS = 1, 32
 
@@ -164,7 +164,7 @@ def segment_keys(docs: DataFrame, edits: int) -> DataFrame:
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, text of the wanted lines (node). Their ids are broadcast only if few; else lines are joined to them."""
     spark, target = docs.sparkSession, pa.schema([("node", pa.int64()), ("text", pa.string())])
-    wanted = wanted.distinct().checkpoint()
+    wanted = settled(wanted.distinct())
     few = spark.sparkContext.broadcast(np.sort(wanted.toPandas()["node"].to_numpy(np.int64))) if wanted.count() <= BROADCAST_ROWS else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,19 +202,19 @@ def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """node, component of the lines that have another within edits; docs has text."""
     keys = segment_keys(docs, edits)
     # Sums are made before the shuffle, so a key that very many lines share costs a row for each task.
-    several = keys.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.min(F.when(F.col("own"), F.struct("node", "n"))).alias("lead")).filter("least <> most and lead is not null").select("bucket", "lead").checkpoint()
+    several = keys.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.min(F.when(F.col("own"), F.struct("node", "n"))).alias("lead")).filter("least <> most and lead is not null").select("bucket", "lead")
+    several = settled(several)
     members = keys.join(F.broadcast(several) if several.count() <= BROADCAST_ROWS // 2 else several, "bucket").dropDuplicates(["bucket", "node"])
-    members = members.checkpoint()
-    lines = line_texts(docs, members.select("node")).checkpoint()
+    members = settled(members)
+    lines = settled(line_texts(docs, members.select("node")))
     pairs = members.filter((F.col("node") != F.col("lead.node")) & (F.abs(F.col("n") - F.col("lead.n")) <= edits)).select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(pairs, lines, edits).checkpoint()
-    groups = components(links).checkpoint()
+    groups = components(settled(verified(settled(pairs), lines, edits)))
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     open_ = still_open(members.join(sizes, "bucket"), groups)
     counts = F.udf(character_counts, "binary", useArrow=True)
     digests = lines.select("node", counts("text").alias("digest"))
-    rest = pairs_in_blocks(open_.filter("size > 2").join(digests, "node"), lambda *x: allowed(*x, edits), "long").checkpoint()
-    return groups if rest.isEmpty() else components(links.unionByName(verified(rest, lines, edits)))
+    rest = settled(pairs_in_blocks(open_.filter("size > 2").join(digests, "node"), lambda *x: allowed(*x, edits), "long"))
+    return groups if rest.isEmpty() else joined(groups, settled(verified(rest, lines, edits)))
 
 
 def dropped_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:

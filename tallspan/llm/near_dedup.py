@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .blocks import pairs_in_blocks, still_open
 from .common import BROADCAST_ROWS, WordCodes, mix, prepare, read, shingle_hashes, with_checkpoints
-from .components import components
+from .components import components, joined, settled
 
 SHINGLE, SIMILARITY, LENGTH, SKETCHES = 5, 0.8, 6, 40
 #: Bins of the digest that rules out pairs far below the similarity before their texts are fetched.
@@ -167,7 +167,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of pairs (a, b) whose texts align; only texts that occur in a pair are moved."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().checkpoint()
+    nodes = settled(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     few = nodes.count() <= BROADCAST_ROWS
     text = docs.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     both = pairs.join(text.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(text.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -203,18 +203,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     apart = (F.col("node") != F.col("lead.node")) & (F.least("n", "lead.n") >= SIMILARITY * F.greatest("n", "lead.n"))
     couple = (F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
 
-    pairs = members.filter(apart).select(*couple).distinct().checkpoint()
-    links = verified(pairs, docs).checkpoint()
-    groups = components(links).checkpoint()
-    for turn in range(2):
-        known = still_open(members, groups)
-        lead = known.groupBy("bucket").agg(F.min_by(F.struct("node", "n", "component"), F.xxhash64("node", "bucket", F.lit(turn))).alias("lead"))
-        pairs = known.join(lead, "bucket").filter(apart & (F.col("component") != F.col("lead.component"))).select(*couple).distinct().join(pairs, ["a", "b"], "left_anti").checkpoint()
-        links = links.unionByName(verified(pairs, docs)).checkpoint()
-        groups = components(links).checkpoint()
-    rest = pairs_in_blocks(still_open(members, groups).join(sketched.select("node", "digest"), "node"), allowed, "binary").checkpoint()
-    if not rest.isEmpty():
-        groups = components(links.unionByName(verified(rest, docs)))
+    pairs = settled(members.filter(apart).select(*couple).distinct())
+    groups = settled(components(settled(verified(pairs, docs))))
+    # Where buckets still hold several groups: another lead for each bucket, then every pair that is left.
+    known = still_open(members, groups)
+    lead = known.groupBy("bucket").agg(F.min_by(F.struct("node", "n", "component"), F.xxhash64("node", "bucket")).alias("lead"))
+    more = known.join(lead, "bucket").filter(apart & (F.col("component") != F.col("lead.component"))).select(*couple).distinct().join(pairs, ["a", "b"], "left_anti")
+    groups = joined(groups, settled(verified(settled(more), docs)))
+    rest = settled(pairs_in_blocks(still_open(members, groups).join(sketched.select("node", "digest"), "node"), allowed, "binary"))
+    groups = joined(groups, settled(verified(rest, docs)))
     narrow = docs.select("doc_id", "node").join(groups, "node", "left").select("doc_id", F.coalesce("component", "node").alias("class"))
     ids = narrow.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_rows"))
     return narrow.join(ids, "class").select("doc_id", "class_id", "n_rows")
