@@ -24,21 +24,25 @@ MOST_LABELLED = 20_000
 CUT = 0.7
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Named statistics of a text, all of them doubles."""
-    text = F.coalesce(text, F.lit(""))
+NAMES = ("words", "word_chars", "distinct_words", "richness", "repeats", "words_per_line", "distinct_lines", "symbols", "bars", "marks", "stops", "digits", "upper")
+
+
+def with_statistics(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
+    """docs with an array of the statistics NAMES; words and lines are split once for each text."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    split = docs.withColumn("__words", F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != "")).withColumn("__lines", F.split(text, "\n"))
+    words, lines = F.col("__words"), F.col("__lines")
+    counted = split.withColumn("__distinct", F.size(F.array_distinct(words)))
     chars = F.greatest(F.length(text), F.lit(1)).cast("double")
-    words = F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != "")
-    n_words = F.greatest(F.size(words), F.lit(1)).cast("double")
-    lines = F.split(text, "\n")
-    n_lines = F.size(lines).cast("double")
+    n_words, n_lines = F.greatest(F.size(words), F.lit(1)).cast("double"), F.size(lines).cast("double")
     without = lambda signs: F.length(text) - F.length(F.translate(text, signs, ""))
-    return {
-        "words": F.size(words).cast("double"),
+    shifted = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
+    values = {
+        "words": F.size(words),
         "word_chars": F.length(F.translate(text, " \n\t", "")) / n_words,
-        "distinct_words": F.size(F.array_distinct(words)) / n_words,
-        "richness": F.size(F.array_distinct(words)) / F.sqrt(n_words),
-        "repeats": F.size(F.filter(F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: a == b), lambda same: same)) / n_words,
+        "distinct_words": F.col("__distinct") / n_words,
+        "richness": F.col("__distinct") / F.sqrt(n_words),
+        "repeats": F.size(F.filter(F.zip_with(words, shifted, lambda a, b: a == b), lambda same: same)) / n_words,
         "words_per_line": n_words / n_lines,
         "distinct_lines": F.size(F.array_distinct(lines)) / n_lines,
         "symbols": without("#*$%&<>=_~^@{}[]") / chars,
@@ -48,6 +52,7 @@ def statistics(text: Column) -> dict[str, Column]:
         "digits": without("0123456789") / chars,
         "upper": F.length(F.regexp_replace(text, r"[^\p{Lu}]+", "")) / chars,
     }
+    return counted.withColumn(name, F.array(*(values[k].cast("double") for k in NAMES))).drop("__words", "__lines", "__distinct")
 
 
 Rule = tuple[tuple[int, bool, float], ...]  # (statistic, above, threshold), all of which hold
@@ -60,14 +65,18 @@ class RuleModel:
     weights: tuple[float, ...]
     bias: float
 
-    def column(self, stats: dict[str, Column]) -> Column:
-        """The score as one expression: 1 / (1 + exp(-(bias + weights of the rules that hold)))."""
-        z = F.lit(self.bias)
-        for rule, w in zip(self.rules, self.weights, strict=True):
-            holds = F.lit(True)
-            for i, above, t in rule:
-                holds = holds & (stats[self.names[i]] > t if above else stats[self.names[i]] <= t)
-            z = z + F.when(holds, F.lit(w)).otherwise(F.lit(0.0))
+    def column(self, stats: Column) -> Column:
+        """The score of an array of statistics: 1 / (1 + exp(-(bias + weights of the rules that hold))).
+
+        The rules are one constant, so the expression stays small however many there are.
+        """
+        if not self.rules:
+            return F.lit(float(1 / (1 + np.exp(-self.bias))))
+        part = lambda i, above, t: F.struct(F.lit(i).alias("i"), F.lit(above).alias("above"), F.lit(float(t)).alias("t"))
+        rules = F.array(*(F.struct(F.array(*(part(*c) for c in r)).alias("all"), F.lit(float(w)).alias("w")) for r, w in zip(self.rules, self.weights, strict=True)))
+        holds = lambda s, r: F.forall(r["all"], lambda c: (F.get(s, c["i"]) > c["t"]) == c["above"])
+        total = lambda s: F.aggregate(rules, F.lit(float(self.bias)), lambda z, r: z + F.when(holds(s, r), r["w"]).otherwise(F.lit(0.0)))
+        z = F.get(F.transform(F.array(stats), total), F.lit(0))  # bound as a lambda's argument, so it is computed once a row
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
     def predict(self, x: np.ndarray) -> np.ndarray:
@@ -144,17 +153,14 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> RuleMod
     labels = labels.filter("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     n = labels.count()
     known = fraction(labels, "doc_id", MOST_LABELLED / max(n, 1)).limit(2 * MOST_LABELLED)
-    stats = statistics(F.col(text_col))
-    rows = flagged_values(docs.select("doc_id", text_col), known, 2 * MOST_LABELLED).select("quality", *(c.alias(k) for k, c in stats.items())).toPandas()
-    return fit(rows[list(stats)].to_numpy(float).reshape(len(rows), len(stats)), rows["quality"].to_numpy(float), tuple(stats))
+    rows = with_statistics(flagged_values(docs.select("doc_id", text_col), known, 2 * MOST_LABELLED), "x", text_col).select("quality", "x").toPandas()
+    x = np.stack(rows["x"]).astype(float) if len(rows) else np.zeros((0, len(NAMES)))
+    return fit(x, rows["quality"].to_numpy(float), NAMES)
 
 
 def score(docs: DataFrame, model: RuleModel, name: str = "score", text_col: str = "text") -> DataFrame:
     """docs with the score in a new column (in place of one of that name, if any)."""
-    stats = statistics(F.col(text_col))
-    held = [f"__{k}" for k in stats]
-    wide = docs.drop(name).select("*", *(c.alias(f"__{k}") for k, c in stats.items()))
-    return wide.withColumn(name, model.column({k: F.col(f"__{k}") for k in stats})).drop(*held)
+    return with_statistics(docs.drop(name), "__stats", text_col).withColumn(name, model.column(F.col("__stats"))).drop("__stats")
 
 
 def held_out(share: int, at: int) -> Column:
