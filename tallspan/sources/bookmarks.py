@@ -14,15 +14,19 @@ class Bookmarks:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
+    def _of(self, source: str, target: str) -> str:
+        """A folder for each pair, so that jobs that end together don't meet."""
+        return f"{self.path.rstrip('/')}/{source}/{target}"
+
     def read(self, source: str, target: str) -> int | None:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self._of(source, target))
         if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
             return None
-        marks = self.spark.read.schema(SCHEMA).parquet(self.path).filter((F.col("source") == source) & (F.col("target") == target))
+        marks = self.spark.read.schema(SCHEMA).parquet(self._of(source, target))
         return marks.agg(F.max("ts")).first()[0]
 
     def write(self, source: str, target: str, ts: int) -> None:
-        self.spark.createDataFrame([(source, target, ts)], SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        self.spark.createDataFrame([(source, target, ts)], SCHEMA).coalesce(1).write.mode("append").parquet(self._of(source, target))
 
 
 def high_water(marks: DataFrame, data_source: str = "DR") -> DataFrame:

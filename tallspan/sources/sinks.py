@@ -68,8 +68,9 @@ def load_script(target: TargetSpec, source_view: str, key_view: str | None = Non
     parts = "".join(f", CAST(`{c.label}` AS {TABLE_TYPES[c.type].upper()}) AS `{c.label}`" for c in target.partitions)
     if key_view:
         test = " AND ".join(f"t.`{k}` <=> d.`{k}`" for k in keys)
-        out.append(f"CREATE OR REPLACE TABLE `{target.database}`.`{target.schema}_new` USING {FORMATS[target.storage].upper()} AS SELECT t.* FROM `{target.database}`.`{target.schema}` t LEFT ANTI JOIN `{key_view}` d ON {test}")
-        out += [f"DROP TABLE `{target.database}`.`{target.schema}`", f"ALTER TABLE `{target.database}`.`{target.schema}_new` RENAME TO `{target.database}`.`{target.schema}`"]
+        aside = f"`{target.database}`.`{target.schema}_new`"
+        out.append(f"CREATE TABLE {aside} USING {FORMATS[target.storage].upper()} AS SELECT t.* FROM `{target.database}`.`{target.schema}` t LEFT ANTI JOIN `{key_view}` d ON {test}")
+        out += [f"INSERT OVERWRITE `{target.database}`.`{target.schema}` SELECT * FROM {aside}", f"DROP TABLE {aside}"]
     out.append(f"INSERT INTO `{target.database}`.`{target.schema}` SELECT {columns}, current_timestamp() AS `{LOAD_STAMP}`{parts} FROM `{source_view}`")
     return ";\n".join(out) + ";\n"
 
@@ -91,7 +92,7 @@ class ManagedTable(Sink):
         as_table(rows, self.target).write.mode("append").insertInto(self.name)
 
     def delete(self, all_keys: DataFrame, one_keys: DataFrame) -> None:
-        """The table without these keys is written aside, then takes its place."""
+        """The table without these keys is written aside, then over it; a failure between leaves one of the two whole."""
         from ..operators.cdc import without
 
         spark = all_keys.sparkSession
@@ -104,8 +105,8 @@ class ManagedTable(Sink):
         spark.sql(f"DROP TABLE IF EXISTS {aside}")
         writer = left.write.format(FORMATS[self.target.storage])
         (writer.partitionBy(*(c.label for c in self.target.partitions)) if self.target.partitions else writer).saveAsTable(aside.replace("`", ""))
-        spark.sql(f"DROP TABLE {self.name}")
-        spark.sql(f"ALTER TABLE {aside} RENAME TO {self.name}")
+        spark.table(aside).write.option("partitionOverwriteMode", "static").mode("overwrite").insertInto(self.name)
+        spark.sql(f"DROP TABLE {aside}")
 
 
 class CellTable(Sink):
