@@ -7,10 +7,10 @@ agrees but once in 200,000 times. Texts of one sketch value form a bucket.
 
 Candidates are compared in rounds. First each text of a bucket is compared with the bucket's least text, so copies
 of a text cost one comparison each; then, where a bucket still holds several groups, with another text of the
-bucket, chosen anew for each bucket; last, all pairs of a bucket that are still in different groups are compared, first by a
-digest (the least shingle of each of BINS bins), which rules out those that are 3.5 standard deviations below the
-similarity, then by their texts. These pairs are looked for in blocks of a bucket that are bounded in rows, and
-pairs inside a group are never made; no bucket is cut short.
+bucket, chosen anew for each bucket; last, all pairs of a bucket that are still in different groups are compared.
+A digest (the least shingle of each of BINS bins) rules out pairs that are several standard deviations below the
+similarity before their texts are moved. The last pairs are looked for in blocks of a bucket that are bounded in
+rows, and pairs inside a group are never made; no bucket is cut short.
 
 A pair is a link if an alignment of the two shingle sequences matches m of them and m / (n1 + n2 - m) >= 0.8,
 found by bit-parallel LCS inside the band that this bound leaves. Groups are the connected components of links.
@@ -70,15 +70,15 @@ def digest(labelled: np.ndarray) -> np.ndarray:
     return out.astype(np.uint8)
 
 
-def maybe_similar(one: np.ndarray, many: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Whether digests agree as often as texts of the least similarity do, less 3.5 standard deviations.
+def maybe_similar(one: np.ndarray, many: np.ndarray, total: np.ndarray, deviations: float = 3.5) -> np.ndarray:
+    """Whether digests agree as often as texts of the least similarity do, less some standard deviations.
 
     total: shingles of both texts. Bins that are filled are a sample, without repetition, of the union.
     """
     filled = np.maximum(((many | one) > 0).sum(1), 1)
     same = ((many == one) & (one > 0)).sum(1)
     left = np.clip(1 - filled * (1 + SIMILARITY) / total, 0.02, 1)
-    return same >= filled * (SIMILARITY - 3.5 * np.sqrt(SIMILARITY * (1 - SIMILARITY) / filled * left))
+    return same >= filled * (SIMILARITY - deviations * np.sqrt(SIMILARITY * (1 - SIMILARITY) / filled * left))
 
 
 def allowed(one: np.ndarray, many: np.ndarray, n: int, ns: np.ndarray) -> np.ndarray:
@@ -165,11 +165,31 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "node binary, n int, digest binary, buckets array<long>").dropDuplicates(["node"])
 
 
+def of_nodes(table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of table whose node is in a pair; only they are moved by the joins that follow."""
+    nodes = settled(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    return table.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes, "node", "left_semi")
+
+
+def plausible(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """pairs without those whose digests are 4.5 standard deviations below the similarity."""
+    some = of_nodes(sketched.select("node", "n", "digest"), pairs)
+    side = lambda k: some.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("digest").alias(f"digest_{k}"))
+    target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                one, two = (np.stack([np.frombuffer(x, np.uint8) for x in batch.column(f"digest_{k}").to_pylist()]) for k in "ab")
+                ok = maybe_similar(one, two, batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy(), 4.5)
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=target).filter(pa.array(ok))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a binary, b binary")
+
+
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) whose texts align; only texts that occur in a pair are moved."""
-    nodes = settled(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    few = nodes.count() <= BROADCAST_ROWS
-    text = docs.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    """Those of pairs (a, b) whose texts align."""
+    text = of_nodes(docs, pairs).groupBy("node").agg(F.first("text").alias("text"))
     both = pairs.join(text.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(text.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -204,12 +224,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     couple = (F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
 
     pairs = settled(members.filter(apart).select(*couple).distinct())
-    groups = settled(components(settled(verified(pairs, docs))))
+    groups = settled(components(settled(verified(settled(plausible(pairs, sketched)), docs))))
     # Where buckets still hold several groups: another lead for each bucket, then every pair that is left.
     known = still_open(members, groups)
     lead = known.groupBy("bucket").agg(F.min_by(F.struct("node", "n", "component"), F.xxhash64("node", "bucket")).alias("lead"))
     more = known.join(lead, "bucket").filter(apart & (F.col("component") != F.col("lead.component"))).select(*couple).distinct().join(pairs, ["a", "b"], "left_anti")
-    groups = joined(groups, settled(verified(settled(more), docs)))
+    groups = joined(groups, settled(verified(settled(plausible(settled(more), sketched)), docs)))
     rest = settled(pairs_in_blocks(still_open(members, groups).join(sketched.select("node", "digest"), "node"), allowed, "binary"))
     groups = joined(groups, settled(verified(rest, docs)))
     narrow = docs.select("doc_id", "node").join(groups, "node", "left").select("doc_id", F.coalesce("component", "node").alias("class"))
