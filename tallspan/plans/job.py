@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..catalog import Catalog
+from ..catalog import Catalog, parse_files, parse_sources, parse_tables
 from ..errors import ConfigError
 from ..operators.recon import observed, validate_recon
 from ..sources.bookmarks import Bookmarks
@@ -111,6 +111,19 @@ def system_config(xml: str) -> SystemConfig:
     return SystemConfig(spark, int(n) if n else None, (_text(root, "runJobsParallelly") or "true").lower() == "true", base, None if marks is None else _text(marks, "tableName"))
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A schema or configuration file from any store that Spark reads."""
+    return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+
+
+def load_catalog(spark: SparkSession, sources: list[str] = (), files: list[str] = (), tables: list[str] = ()) -> Catalog:
+    out = Catalog()
+    for paths, parse in ((sources, parse_sources), (files, parse_files), (tables, parse_tables)):
+        for p in paths:
+            out.add(*parse(read_text(spark, p)))
+    return out
+
+
 @dataclass(frozen=True)
 class Report:
     """What a job did; recon is empty for incremental loads."""

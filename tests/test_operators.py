@@ -13,7 +13,7 @@ from tallspan.operators.recon import observed, recon, validate_recon
 from tallspan.operators.reshape import matched
 from tallspan.operators.rowkey import build_key, with_key_fields
 from tallspan.plans import engine
-from tallspan.plans.job import Job, JobConfig, report_frame, run_jobs
+from tallspan.plans.job import Job, JobConfig, load_catalog, report_frame, run_jobs
 from tallspan.catalog import Catalog
 from tallspan.errors import AnalysisError
 from tallspan.sources import cells as scans
@@ -217,6 +217,12 @@ def test_jobs(spark, tmp_path):
     assert rows(DelimitedFiles.read(spark, f"{path}/delete_all", ["k"]), "k") == [("2",)] and marks.read("e", "u") == 20
 
 
+def test_schema_files(spark, tmp_path):
+    for name, text in (("s", "e:e->RK=k->D.A:string::;\nf:f->RK=k->D.B:string::;"), ("f", "t=k:string:;"), ("t", "u=db->k:string:;")):
+        (tmp_path / name).write_text(text)
+    assert load_catalog(spark, [str(tmp_path / "s")], [str(tmp_path / "f")], [str(tmp_path / "t")]).list() == ["e", "f", "t", "u"]
+
+
 def test_stream(spark, tmp_path):
     from tallspan.streaming.follow import follow
 
