@@ -16,20 +16,16 @@ from pyspark.sql import types as T
 SCALE = 10
 
 
-def _big(n: int) -> C:
-    return F.lit(str(n)).cast("decimal(21,0)")
-
-
 def text_of(value: C) -> C:
     return F.decode(value, "UTF-8")
 
 
 def int_of(value: C, size: int) -> C:
     """Big-endian two's complement of 4 or 8 bytes; null for any other length."""
-    unsigned = F.conv(F.hex(value), 16, 10).cast("decimal(21,0)")
-    limit = _big(2 ** (8 * size - 1))
-    signed = F.when(unsigned >= limit, unsigned - _big(2 ** (8 * size))).otherwise(unsigned)
-    return F.when(F.octet_length(value) == size, signed.cast("int" if size == 4 else "long"))
+    n = F.conv(F.hex(value), 16, -10).cast("long")
+    if size == 4:
+        n = F.when(n >= 1 << 31, n - (1 << 32)).otherwise(n).cast("int")
+    return F.when(F.octet_length(value) == size, n)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -156,9 +152,8 @@ def _from_biginteger(value: pd.Series) -> pd.Series:
 def encoded(text: C, type_: str) -> C:
     """Text of a value to the bytes of its declared type."""
     if type_ in ("int", "long"):
-        size = 4 if type_ == "int" else 8
-        n = text.cast(type_).cast("decimal(21,0)")
-        return F.unhex(F.lpad(F.conv(F.when(n < 0, n + _big(2 ** (8 * size))).otherwise(n).cast("string"), 10, 16), 2 * size, "0"))
+        digits = 8 if type_ == "int" else 16
+        return F.unhex(F.lpad(F.right(F.hex(text.cast(type_).cast("long")), F.lit(digits)), digits, "0"))
     udfs = {"double": lambda: _from_double(text.cast("double")), "float": lambda: _from_float(text.cast("float")), "decimal": lambda: _from_decimal(text), "biginteger": lambda: _from_biginteger(text)}
     return udfs[type_]() if type_ in udfs else F.encode(text, "UTF-8")
 

@@ -43,14 +43,17 @@ def _fields(tree: Leaves) -> str:
     return "struct<" + ",".join(f"`{k}`:string" for k in tree) + ">"
 
 
-def _holds(text: C, tree: Leaves) -> C:
-    """Whether a JSON value has any wanted leaf, at any depth; JSON null is none."""
-    struct = _texts(text, _fields(tree))
-    inner = lambda sub: lambda e: _holds(e, sub)
-    tests = [struct[k].isNotNull() if sub is None else F.exists(_elements(struct[k]), inner(sub)) for k, sub in tree.items()]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out | t
+def _parsed(text: C, tree: Leaves) -> C:
+    """The elements of a JSON text as structs of the wanted fields, each a JSON text again; parsed once."""
+    return F.transform(_elements(text), lambda e: _texts(e, _fields(tree)))
+
+
+def _holds(struct: C, tree: Leaves) -> C:
+    """Whether a struct has any wanted leaf, at any depth; JSON null is none."""
+    inner = lambda sub: lambda s: _holds(s, sub)
+    out = F.lit(False)
+    for k, sub in tree.items():
+        out = out | (struct[k].isNotNull() if sub is None else F.coalesce(F.exists(_parsed(struct[k], sub), inner(sub)), F.lit(False)))
     return F.coalesce(out, F.lit(False))
 
 
@@ -67,8 +70,7 @@ def flatten_json(rows: DataFrame, column: str, paths: list[str], check_root: boo
 
 def _level(rows: DataFrame, at: str, tree: Leaves, path: tuple[str, ...]) -> DataFrame:
     """Rows of the elements of the JSON text in column at; its scalars, then the levels below."""
-    some = F.filter(_elements(F.col(at)), lambda e: _holds(e, tree))
-    rows = rows.withColumn(at, F.explode_outer(some)).withColumn(f"{at}_s", _texts(F.col(at), _fields(tree)))
+    rows = rows.withColumn(f"{at}_s", F.explode_outer(F.filter(_parsed(F.col(at), tree), lambda s: _holds(s, tree))))
     name = lambda k: "#".join((*path, k))
     for k, sub in tree.items():
         if sub is None:  # a scalar, or an array of them: a row for each
