@@ -202,12 +202,13 @@ def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """node, component of the lines that have another within edits; docs has text."""
     keys = segment_keys(docs, edits)
     # Sums are made before the shuffle, so a key that very many lines share costs a row for each task.
-    several = keys.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.min(F.when(F.col("own"), F.struct("node", "n"))).alias("lead")).filter("least <> most and lead is not null").select("bucket", "lead")
+    several = keys.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.min(F.when(F.col("own"), F.col("node"))).alias("lead")).filter("least <> most and lead is not null").select("bucket", "lead")
     several = settled(several)
     members = keys.join(F.broadcast(several) if several.count() <= BROADCAST_ROWS // 2 else several, "bucket").dropDuplicates(["bucket", "node"])
     members = settled(members)
     lines = settled(line_texts(docs, members.select("node")))
-    pairs = members.filter((F.col("node") != F.col("lead.node")) & (F.abs(F.col("n") - F.col("lead.n")) <= edits)).select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+    # The lead has the indexed length, which its key is made from, so all members are near it in length.
+    pairs = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     groups = components(settled(verified(settled(pairs), lines, edits)))
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     open_ = still_open(members.join(sizes, "bucket"), groups)
@@ -219,7 +220,7 @@ def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """key, at, equal of each line that goes: equal where the same line comes earlier, else one near it."""
-    found = occurrences(docs)
+    found = occurrences(docs).checkpoint()  # narrow rows, read twice
     where = F.struct("doc_id", "key", "at")
     lines = found.groupBy("line").agg(F.first("id").alias("node"), F.min(where).alias("first"))
     groups = near_lines(docs.select("text"), edits)
