@@ -10,7 +10,8 @@ banded bit-parallel edit distance is at most EDITS. Classes are connected compon
 
 Of each class the first line stays, by (doc_id, position); all later ones go, in every document. Lines are split
 at \\n and must have MIN_CHARS characters; shorter ones stay. Null texts stay null. Rows that repeat a doc_id and
-text are one document. Distances count code points. Columns besides doc_id and text pass through untouched.
+text are one document. Distances count code points. Columns besides doc_id and text pass through untouched, but for
+those named as the counts, which are replaced.
 """
 
 from __future__ import annotations
