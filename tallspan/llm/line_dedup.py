@@ -1,12 +1,13 @@
 """Line dedup: equal lines and lines within a few edits of an earlier one go, over the whole corpus.
 
-Lines are cut into EDITS + 1 segments by their length; two lines within EDITS edits share a segment, near its
+A pair may have k = EDITS edits, one more if the shorter line has MORE_EDITS_FROM characters, and one more for each
+doubling. Lines are cut into k + 1 segments by their length; two lines within k edits share a segment, near its
 place, so each line is indexed by its segments and looks up those substrings of itself that may be the segment of
-a line as long or shorter by up to EDITS (the multi-match-aware selection: an edit before a segment moves it, and
+a line as long or shorter by up to k (the multi-match-aware selection: an edit before a segment moves it, and
 edits are few on either side). Keys are grouped with map-side sums; keys of one line only are dropped. Candidates
 are compared in rounds, as copies of a line share all keys: with the key's least line, then all pairs of a key that
 are still in different groups, in blocks, where counts of characters allow them. A pair is a link if its
-banded bit-parallel edit distance is at most EDITS. Classes are connected components of links.
+banded bit-parallel edit distance is at most k. Classes are connected components of links.
 
 Of each class the first line stays, by (doc_id, position); all later ones go, in every document. Lines are split
 at \\n and must have MIN_CHARS characters; shorter ones stay. Null texts stay null. Rows that repeat a doc_id and
@@ -30,6 +31,13 @@ from .common import BROADCAST_ROWS, prepare, read, with_checkpoints
 from .components import components, joined, settled
 
 EDITS, MIN_CHARS = 1, 32
+#: Lines of this many characters have one edit more, and again at each doubling.
+MORE_EDITS_FROM = 128
+
+
+def edits_of(length: int, edits: int | None = None) -> int:
+    """Edits that a pair may have whose shorter line has this length; edits, if given, holds for all lengths."""
+    return edits if edits is not None else EDITS + (length // MORE_EDITS_FROM).bit_length()
 
 
 def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
@@ -40,17 +48,19 @@ def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
     return [(sum(sizes[:i]), sizes[i]) for i in range(k)]
 
 
-def selections(length: int, edits: int = EDITS) -> list[tuple[int, int, int, int, bool]]:
+def selections(length: int, edits: int | None = None) -> list[tuple[int, int, int, int, bool]]:
     """(indexed length, segment, start, size, own) of all substrings that a line of this length is keyed by.
 
     own: the line's own segment, which is indexed and looked up at once.
     """
     out = []
-    for short in range(max(length - edits, edits + 1), length + 1):
-        shift = length - short
-        for i, (start, size) in enumerate(segments(short, edits)):
-            first = max(start - i, start + shift - (edits - i), 0)
-            last = min(start + i, start + shift + (edits - i), length - size)
+    for short in range(max(length - edits_of(length, edits), 1), length + 1):
+        shift, k = length - short, edits_of(short, edits)
+        if shift > k or short <= k:
+            continue
+        for i, (start, size) in enumerate(segments(short, k)):
+            first = max(start - i, start + shift - (k - i), 0)
+            last = min(start + i, start + shift + (k - i), length - size)
             out += [(short, i, at, size, short == length and at == start) for at in range(first, last + 1)]
     return out
 
@@ -85,8 +95,9 @@ def banded_distance(a: str, b: str, edits: int) -> int:
     return far
 
 
-def within(a: str, b: str, edits: int = EDITS) -> bool:
+def within(a: str, b: str, edits: int | None = None) -> bool:
     head, least = 0, min(len(a), len(b))
+    edits = edits_of(least, edits)
     while head < least and a[head] == b[head]:
         head += 1
     tail = 0
@@ -109,8 +120,10 @@ def character_counts(line: str) -> bytes:
     return np.minimum(np.bincount(u & 31, minlength=32), 255).astype(np.uint8).tobytes()
 
 
-def allowed(one: np.ndarray, many: np.ndarray, n: int, ns: np.ndarray, edits: int = EDITS) -> np.ndarray:
-    return (np.abs(ns - n) <= edits) & (np.abs(many.astype(np.int16) - one).sum(1) <= 2 * edits)
+def allowed(one: np.ndarray, many: np.ndarray, n: int, ns: np.ndarray, edits: int | None = None) -> np.ndarray:
+    short = np.minimum(ns, n)
+    most = EDITS + np.frexp(short // MORE_EDITS_FROM)[1] if edits is None else edits  # the exponent is the bit length
+    return (np.abs(ns - n) <= most) & (np.abs(many.astype(np.int16) - one).sum(1) <= 2 * most)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -132,7 +145,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "line binary, id long, key long, doc_id long, at int")
 
 
-def segment_keys(docs: DataFrame, edits: int) -> DataFrame:
+def segment_keys(docs: DataFrame, edits: int | None) -> DataFrame:
     """bucket, node, n, own: the keys of each line, n its length. A task gives a line once while it remembers it."""
     target = pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("own", pa.bool_())])
 
@@ -149,7 +162,7 @@ def segment_keys(docs: DataFrame, edits: int) -> DataFrame:
                         seen.clear()
                     seen.add(i)
                     if size not in chosen:
-                        chosen[size] = [(s * 16 + k, at, at + w, mine) for s, k, at, w, mine in selections(size, edits)]
+                        chosen[size] = [(s * 64 + k, at, at + w, mine) for s, k, at, w, mine in selections(size, edits)]
                     for seed, a, z, mine in chosen[size]:
                         bucket.append(xxhash.xxh64_intdigest(line[a:z].encode(), seed))
                         own.append(mine)
@@ -187,7 +200,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return lines.groupBy("node").agg(F.first("text").alias("text"))
 
 
-def verified(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
+def verified(pairs: DataFrame, lines: DataFrame, edits: int | None) -> DataFrame:
     both = pairs.join(lines.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(lines.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     target = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -199,7 +212,7 @@ def verified(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def near_lines(docs: DataFrame, edits: int | None = None) -> DataFrame:
     """node, component of the lines that have another within edits; docs has text."""
     keys = segment_keys(docs, edits)
     # Sums are made before the shuffle, so a key that very many lines share costs a row for each task.
@@ -219,7 +232,7 @@ def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     return groups if rest.isEmpty() else joined(groups, settled(verified(rest, lines, edits)))
 
 
-def dropped_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def dropped_lines(docs: DataFrame, edits: int | None = None) -> DataFrame:
     """key, at, equal of each line that goes: equal where the same line comes earlier, else one near it."""
     found = occurrences(docs).checkpoint()  # narrow rows, read twice
     where = F.struct("doc_id", "key", "at")
@@ -231,7 +244,7 @@ def dropped_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     return found.join(heads, "line").filter(where != F.col("stays")).select("key", "at", (where != F.col("first")).alias("equal"))
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int | None = None) -> DataFrame:
     """docs with its text cut, and n_lines, n_equal, n_near: lines of the text, and those gone for either reason."""
     prepare(with_checkpoints(docs.sparkSession))
     docs = docs.drop("n_lines", "n_equal", "n_near")

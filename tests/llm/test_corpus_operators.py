@@ -228,6 +228,28 @@ def test_line_dedup_table(spark, real):
     assert {r.doc_id: r.text for r in line_dedup.op4(spark, SF).collect()} == plain_lines(rows)
 
 
+def test_line_dedup_long_lines(spark):
+    """Longer lines may have more edits: each pair here goes up to that number and stays beyond it."""
+    rng, rows, want = random.Random(4), [], {}
+    for length, most in ((100, 1), (140, 2), (300, 3), (700, 4), (1100, 5)):
+        assert line_dedup.edits_of(length) == most
+        for n in range(1, most + 2):
+            line, i = "".join(rng.choice("abcdefgh ") for _ in range(length)), len(rows)
+            copy = list(line)
+            for at in range(n):
+                copy[(2 * at + 1) * length // (2 * n + 2)] = "Z"
+            rows += [(i, line), (i + 1, "".join(copy))]
+            want |= {i: line, i + 1: "" if n <= most else "".join(copy)}
+    rows += [(900, "q" * 127 + "x"), (901, "q" * 127)]  # a pair across a border is judged by its shorter line
+    want |= {900: "q" * 127 + "x", 901: ""}
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == want
+    one, ns = np.zeros((1, 32), np.uint8), np.array([127, 128, 255, 256, 1024])
+    many = np.repeat(np.eye(1, 32, dtype=np.uint8) * 4, 5, 0)
+    assert line_dedup.allowed(one[0], many, 2000, ns).tolist() == [False] * 5
+    assert [bool(line_dedup.allowed(one[0], many[:1], int(n), ns[i : i + 1])[0]) for i, n in enumerate(ns)] == [False, True, True, True, True]
+
+
 def test_decontamination(spark, real):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
