@@ -3,10 +3,11 @@
 Rows are ordered by a 63-bit key: the text's hash above, a hash of the id below, so equal texts are neighbours but
 a hot text still falls apart into many keys; ties are ordered by id. Each round counts bytes and rows between the
 probes over all partitions; intervals that hold a splitter and are wider than the tolerance, and intervals with
-too many rows for one task, get new probes. When all are fine enough, each interval is one piece of the exchange:
+too many rows for one task, get new probes, and probes that are not needed any more go, so there is always room.
+When all are fine enough, each interval is one piece of the exchange:
 its shard is where its bytes fall, its first slot is the rows of its shard before it.
 
-Law `bytes`: shard sizes differ by no more than the tolerance and one row. Null texts have no bytes besides the
+Law `bytes`: shard sizes differ by no more than the tolerance and one row, or the rows of one key (repeated rows). Null texts have no bytes besides the
 fixed 16. With fewer rows than shards some shards are empty. Repeated rows are separate rows. Rows with a null id
 are placed by a hash of nothing. Other columns are carried along; columns named as the results are replaced.
 """
@@ -53,9 +54,23 @@ def histogram(rows: DataFrame, probes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return bytes_, n
 
 
+def thinned(probes: np.ndarray, n: np.ndarray, needed: np.ndarray, most: float) -> np.ndarray:
+    """The needed probes, and of the others those without which an interval would have more than most rows."""
+    kept, held = needed.copy(), n[0]
+    for i in range(len(probes)):
+        kept[i] |= held + n[i + 1] > most
+        held = n[i + 1] if kept[i] else held + n[i + 1]
+    return probes[kept]
+
+
 def refine(rows: DataFrame, shards: int, tolerance: float = TOLERANCE, piece: float = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Probes with the bytes and rows between them, fine enough to place every splitter."""
+    """Probes with the bytes and rows between them, fine enough to place every splitter.
+
+    Probes that settled intervals don't need are dropped in each round. At most 1 / piece intervals have too many
+    rows and each splitter lies in one, so there is room to cut each of them: only intervals of one key stay wide.
+    """
     probes = (np.arange(1, FIRST_PROBES, dtype=np.int64) << 51)
+    bound = max(MOST_PROBES, int(8 * (1 / piece + shards)))
     while True:
         bytes_, n = histogram(rows, probes)
         total, ends = bytes_.sum(), np.cumsum(bytes_)
@@ -67,12 +82,16 @@ def refine(rows: DataFrame, shards: int, tolerance: float = TOLERANCE, piece: fl
         at = np.minimum(np.searchsorted(ends, goals), len(n) - 1)
         near = np.minimum(ends[at] - goals, goals - (ends[at] - bytes_[at]))
         split[at[near > slack]] = True
-        split |= n > max(piece * n.sum(), 64)
+        most = max(piece * n.sum(), 64)
+        split |= n > most
         split &= (n > 1) & (high - low > 1)
-        room = (MOST_PROBES - len(probes)) // (MORE_PROBES - 1)
-        if not split.any() or room < split.sum():
+        if not split.any():
             return probes, bytes_, n
-        new = [np.unique(low[i] + ((high[i] - low[i]) // MORE_PROBES + 1) * np.arange(1, MORE_PROBES)) for i in np.flatnonzero(split)]
+        needed = split.copy()
+        needed[at] = True  # both borders of these intervals stay
+        probes = thinned(probes, n, needed[:-1] | needed[1:], most)
+        parts = min(MORE_PROBES, (bound - len(probes)) // int(split.sum()) + 1)
+        new = [np.unique(low[i] + ((high[i] - low[i]) // parts + 1) * np.arange(1, parts)) for i in np.flatnonzero(split)]
         inside = [x[(x > low[i]) & (x < high[i])] for x, i in zip(new, np.flatnonzero(split), strict=True)]
         probes = np.unique(np.concatenate([probes, *inside]))
 

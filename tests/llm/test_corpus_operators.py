@@ -313,6 +313,28 @@ def test_sharding_hot_text(spark):
     assert sharding.assign_shards(df.limit(0), 7).count() == 0
 
 
+@pytest.mark.parametrize("copied", [50, 200, 1400])
+def test_sharding_many_hot_texts(monkeypatch, copied):
+    """Many texts with more rows than a piece may hold: all of them are cut, within the bound of probes."""
+    rng = np.random.default_rng(copied)
+    n, shards = 300_000, 40
+    text = np.concatenate([np.zeros(n // 3, np.int64), 1 + rng.integers(0, copied, n if copied > 1000 else n // 5), np.arange(2 * copied, 2 * copied + n // 2)])
+    high = rng.integers(0, 1 << 39, text.max() + 1)
+    keys = np.sort((high[text] << 24) | rng.integers(0, 1 << 24, len(text)))
+    most = []
+
+    def histogram(rows, probes):
+        most.append(len(probes))
+        counts = np.diff(np.concatenate([[0], np.searchsorted(keys, probes), [len(keys)]]))
+        return counts * 100, counts
+
+    monkeypatch.setattr(sharding, "histogram", histogram)
+    _, bytes_, rows = sharding.refine(None, shards)
+    sizes = np.bincount(sharding.place(bytes_, rows, shards)[0], bytes_, shards)
+    assert rows.max() <= max(sharding.PIECE * len(keys), 64) and max(most) <= sharding.MOST_PROBES and len(most) < 30
+    assert np.abs(sizes - sizes.mean()).max() <= 2 * sharding.TOLERANCE * sizes.mean() + 200
+
+
 def test_pipeline(spark, real):
     """Each stage against a plain version of it on its own input."""
     docs, names = real, [n for n, _ in corpus_pipeline.STAGES]
