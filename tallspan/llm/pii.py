@@ -4,8 +4,9 @@ The network is trained here, in numpy, from labelled spans: windows of the docum
 windows with made-up personal data of looser form (other spacing, no plus sign, spelled-out at and dot, keys and
 passwords). Texts are read in windows of WINDOW characters, each overlapping the next by half; every character
 takes its tag from the window in whose middle it lies, and the runs of tags that result over the whole text are
-the spans. A window without any digit or at sign is not decoded: no kind can be found there. Spans that overlap a
-base span are not added.
+the spans. A span that may be added holds a digit, an at sign, the word at or the name of a key or password
+(plausible); decoding begins at the windows with one of them and goes on to the end of each run, so it gives what
+decoding all windows would. Spans that overlap a base span are not added.
 
 Positions count code points; ends are exclusive. Null and empty texts have no spans. Extra columns are not read.
 """
@@ -37,7 +38,10 @@ _HOST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_SIGNAL = re.compile(r"[0-9@]")
+_KEY = r"(?:password|passwd|secret|token|api_key)\s?[=:]"
+#: One of these lies in every span that plausible() lets through, and the span holds its first character.
+_SIGNAL = re.compile(rf"[0-9@]| at(?= )|(?i:{_KEY})")
+_NAMED_SECRET = re.compile(rf"(?i:{_KEY})\s?[\"']?[^\s\"']{{8}}")
 _SECRET = re.compile(r"AKIA[0-9A-Z]{16}|(?:password|passwd|secret|token|api_key)\s?[=:]\s?[\"']?[A-Za-z0-9_/+-]*[0-9][A-Za-z0-9_/+-]*[\"']?")
 
 
@@ -127,7 +131,7 @@ def tags_of(length: int, spans: list[Span]) -> np.ndarray:
 
 
 def windows_of(text: str) -> list[int]:
-    """Starts of the windows to decode: multiples of half a window, with a digit or at sign inside."""
+    """Starts of the windows to decode first: multiples of half a window, with a signal inside."""
     half, starts = WINDOW // 2, set()
     for m in _SIGNAL.finditer(text):
         block = m.start() // half
@@ -135,6 +139,18 @@ def windows_of(text: str) -> list[int]:
     return [s * half for s in sorted(starts)]
 
 
+def beside(starts: set[int], tags: np.ndarray) -> list[int]:
+    """Starts of windows not decoded yet into which a run of tags may go on: the run ends where its window's part ends."""
+    half, quarter, out = WINDOW // 2, WINDOW // 4, set()
+    for s in starts:
+        first, last = s + quarter, s + half + quarter - 1
+        if s - half not in starts and 0 < first < len(tags) and tags[first]:
+            out.add(s - half)
+        if s + half not in starts and last + 1 < len(tags) and tags[last]:
+            out.add(s + half)
+    return sorted(out)
+
+
 class Tagger:
     """Two LSTMs over one-hot characters, a linear layer on both, and a CRF. Weights are plain arrays."""
 
@@ -247,19 +263,23 @@ class Tagger:
         return out
 
     def spans(self, many: list[str]) -> list[list[Span]]:
-        """Spans of whole texts, each from all its windows together."""
+        """Spans of whole texts, as if all their windows were decoded: from those with a signal on, to the runs' ends."""
         where = [(i, s) for i, text in enumerate(many) for s in windows_of(text)]
         tags = {i: np.zeros(len(many[i]), np.int64) for i, _ in where}
         codes = {i: char_codes(many[i]) for i in tags}
+        done: dict[int, set[int]] = {i: set() for i in tags}
         quarter = WINDOW // 4
-        for k in range(0, len(where), 512):
-            x = np.zeros((len(part := where[k : k + 512]), WINDOW), np.int64)
-            for row, (i, s) in zip(x, part, strict=True):
-                a, b = max(s, 0), min(s + WINDOW, len(codes[i]))
-                row[a - s : b - s] = codes[i][a:b]
-            for row, (i, s) in zip(self.decode(x), part, strict=True):
-                a, b = max(s + quarter, 0), min(s + WINDOW - quarter, len(codes[i]))
-                tags[i][a:b] = row[a - s : b - s]
+        while where:
+            for k in range(0, len(where), 512):
+                x = np.zeros((len(part := where[k : k + 512]), WINDOW), np.int64)
+                for row, (i, s) in zip(x, part, strict=True):
+                    a, b = max(s, 0), min(s + WINDOW, len(codes[i]))
+                    row[a - s : b - s] = codes[i][a:b]
+                for row, (i, s) in zip(self.decode(x), part, strict=True):
+                    a, b = max(s + quarter, 0), min(s + WINDOW - quarter, len(codes[i]))
+                    tags[i][a:b] = row[a - s : b - s]
+                    done[i].add(s)
+            where = [(i, s) for i in dict.fromkeys(i for i, _ in where) for s in beside(done[i], tags[i])]
         return [runs(tags[i], text) if i in tags else [] for i, text in enumerate(many)]
 
 
@@ -273,7 +293,7 @@ def plausible(kind: str, s: str) -> bool:
     if kind == "ip":
         parts = re.findall("[0-9]+", s)
         return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
-    return "@" in s or " at " in s if kind == "email" else bool(d)
+    return "@" in s or " at " in s if kind == "email" else bool(d or _NAMED_SECRET.search(s))
 
 
 def runs(tags: np.ndarray, text: str) -> list[Span]:
@@ -312,15 +332,15 @@ def made_up(n: int, contexts: list[str], seed: int = 9) -> tuple[list[str], list
 
     def email() -> str:
         name, host = pick([word(), f"{word()}.{word()}", f"{word()}{num(2)}"]), f"{pick([word(), f'{word()}{num(1)}.{word()}', f'mail{num(1)}.example'])}.{pick(['com', 'org', 'net', 'de', 'fr', 'es'])}"
-        return pick([f"{name}@{host}", f"{name}@{host}", f"{name} @ {host}", f"{name}{num(2)} at {host.replace('.', ' dot ')}"])
+        return pick([f"{name}@{host}", f"{name}@{host}", f"{name} @ {host}", f"{name}{pick(['', ' ' + word(), num(2)])} at {host.replace('.', ' dot ')}"])
 
     def ip() -> str:
         return ".".join(str(rng.integers(256)) for _ in range(4))
 
     def secret() -> str:
-        return pick([f"AKIA{any_(16, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789')}", f"{pick(['password', 'passwd', 'token', 'secret', 'api_key'])}{pick(['=', ': ', ' = '])}{any_(int(rng.integers(12, 24)), '0123456789abcdef')}"])
+        return pick([f"AKIA{any_(16, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789')}", f"{pick(['password', 'passwd', 'token', 'secret', 'api_key'])}{pick(['=', ': ', ' = '])}{any_(int(rng.integers(12, 24)), pick(['0123456789abcdef', 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz']))}"])
 
-    plain = [lambda: f"Version {num(1)}.{num(1)}", lambda: num(int(rng.integers(1, 9))), lambda: f"{word()} {num(4)}, {num(2)}", lambda: f"{num(2)}.{num(2)}.{num(4)}", lambda: f"{word()}{num(2)}", lambda: f"{num(1)},{num(3)}.{num(2)}"]
+    plain = [lambda: f"Version {num(1)}.{num(1)}", lambda: num(int(rng.integers(1, 9))), lambda: f"{word()} {num(4)}, {num(2)}", lambda: f"{num(2)}.{num(2)}.{num(4)}", lambda: f"{word()}{num(2)}", lambda: f"{num(1)},{num(3)}.{num(2)}", lambda: f"{word()} at {word()} {word()}"]
     forms = {"email": email, "ip": ip, "card": card, "phone": phone, "secret": secret}
     rows, spans = [], []
     for _ in range(n):
@@ -337,7 +357,7 @@ def made_up(n: int, contexts: list[str], seed: int = 9) -> tuple[list[str], list
 
 
 def sample_windows(docs: DataFrame) -> tuple[list[str], list[list[Span]], list[str]]:
-    """Labelled windows of documents with digits or at signs, and windows without, from a bounded sample."""
+    """Labelled windows with a signal, of documents with digits or at signs, and windows without, from a bounded sample."""
     target = arrow_schema("part string, spans string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -192,6 +192,28 @@ def test_tagger_finds_other_forms(tagger):
     assert any(text_[1] > 19_000 for text_ in tagger.spans([far])[0])
 
 
+def test_tagger_needs_no_digit(tagger):
+    rng = random.Random(12)
+    word = lambda a=4, b=8: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(a, b)))
+    for kind, form in (("email", lambda: f"{word()}.{word()} at {word()} dot example dot com"), ("secret", lambda: f"password={word(14, 20)}")):
+        many = [f"{word()} {word()} {word()} {form()}, {word()} {word()} {word()}" for _ in range(60)]
+        assert sum(any(k == kind and b - a > 12 for k, a, b in got) for got in tagger.spans(many)) > 40
+
+
+def test_tagger_as_if_all_were_decoded(tagger, real, monkeypatch):
+    half = pii.WINDOW // 2
+    many = [r.text or "" for r in real.collect()] + ["", "x", "word " * 30 + "secret: " + "abcdefgh" * 30 + "7 end", "x" * 500 + "@" + "y" * 500]
+    got = tagger.spans(many)
+    monkeypatch.setattr(tagger, "decode", lambda x: np.where(x == ord("q") - 31, 2, 0))
+    assert tagger.spans(["w" * 90 + "q" * 300 + "w" * 90]) == [[]] and pii.plausible("email", "q at q")
+    long = "w" * 90 + "@" + "q" * 300 + "w" * 90
+    monkeypatch.setattr(tagger, "decode", lambda x: np.where((x == ord("q") - 31) | (x == ord("@") - 31), 2, 0))
+    assert tagger.spans([long]) == [[("email", 90, 391)]]
+    monkeypatch.undo()
+    monkeypatch.setattr(pii, "windows_of", lambda text: [k * half for k in range(-1, -(-len(text) // half))])
+    assert tagger.spans(many) == got
+
+
 def test_quality_model(spark, docs):
     d = "/root/testdata/sf0.01"
     out = quality_model.op2(spark, d)
