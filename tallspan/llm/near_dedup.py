@@ -3,7 +3,8 @@
 A text is the sequence of its five-word shingles (lower-case words between ASCII white space), each labelled by
 its occurrence number. A sketch takes the LENGTH shingles of least hash and keeps them in the order of the text;
 two texts share a sketch with a probability of about similarity ** LENGTH, so at the threshold one of SKETCHES
-agrees but once in 200,000 times. Texts of one sketch value form a bucket.
+agrees but once in 200,000 times. A text of up to SHORT shingles has too few for that; it is keyed by the fifth of
+them (and one more) of least hash, of which any two similar texts share one. Texts of one value form a bucket.
 
 Candidates are compared in rounds. First each text of a bucket is compared with the bucket's least text, so copies
 of a text cost one comparison each; then, where a bucket still holds several groups, with another text of the
@@ -35,6 +36,8 @@ from .common import BROADCAST_ROWS, WordCodes, mix, prepare, read, shingle_hashe
 from .components import components, joined, settled
 
 SHINGLE, SIMILARITY, LENGTH, SKETCHES = 5, 0.8, 6, 40
+#: Shingles up to which a text is looked for by its rarest ones instead of sketches.
+SHORT = 32
 #: Bins of the digest that rules out pairs far below the similarity before their texts are fetched.
 BINS = 512
 
@@ -73,12 +76,13 @@ def digest(labelled: np.ndarray) -> np.ndarray:
 def maybe_similar(one: np.ndarray, many: np.ndarray, total: np.ndarray, deviations: float = 3.5) -> np.ndarray:
     """Whether digests agree as often as texts of the least similarity do, less some standard deviations.
 
-    total: shingles of both texts. Bins that are filled are a sample, without repetition, of the union.
+    total: shingles of both texts; with few (a short text's pairs) the test is exact. Bins that are filled are a sample, without repetition, of the union.
     """
     filled = np.maximum(((many | one) > 0).sum(1), 1)
     same = ((many == one) & (one > 0)).sum(1)
     left = np.clip(1 - filled * (1 + SIMILARITY) / total, 0.02, 1)
-    return same >= filled * (SIMILARITY - deviations * np.sqrt(SIMILARITY * (1 - SIMILARITY) / filled * left))
+    # The shingles that similar texts don't share are at most a ninth of all; no other makes a bin differ.
+    return np.where(total <= SHORT * 9 // 4, (filled - same) * 9 <= total, same >= filled * (SIMILARITY - deviations * np.sqrt(SIMILARITY * (1 - SIMILARITY) / filled * left)))
 
 
 def allowed(one: np.ndarray, many: np.ndarray, n: int, ns: np.ndarray) -> np.ndarray:
@@ -101,6 +105,23 @@ def order_minhash(labelled: np.ndarray, length: int = LENGTH) -> np.ndarray:
     return out
 
 
+def prefix_keys(labelled: np.ndarray) -> np.ndarray:
+    """The least n // 5 + 1 of n labelled shingles, marked: texts at the similarity have at least 4 n / 5 of them in
+    common, in the same order of hashes, so they share one of these.
+    """
+    return mix(np.sort(labelled)[: len(labelled) // 5 + 1] ^ np.uint64(0xA0761D6478BD642F))
+
+
+def buckets_of(labelled: np.ndarray) -> np.ndarray:
+    """Keys of a short text, sketches of a long one, and both where either may be similar to it."""
+    n = len(labelled)
+    if n <= SHORT:
+        return prefix_keys(labelled)
+    if n * 4 <= SHORT * 5:
+        return np.concatenate([order_minhash(labelled), prefix_keys(labelled)])
+    return order_minhash(labelled)
+
+
 def banded_lcs(a: list[int], b: list[int], band: int) -> int:
     """Length of the longest common subsequence along paths within band of the diagonal.
 
@@ -158,7 +179,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             for key, text in zip(b.column("node").to_pylist(), b.column("text").to_pylist(), strict=True):
                 if key not in out and len(h := shingle_hashes(codes.hashes_of(words(text)), SHINGLE)):
                     x = labelled_shingles(h)
-                    out[key] = (len(h), digest(x).tobytes(), order_minhash(x).view(np.int64))
+                    out[key] = (len(h), digest(x).tobytes(), buckets_of(x).view(np.int64))
             n, d, buckets = zip(*out.values(), strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_pydict({"node": list(out), "n": n, "digest": d, "buckets": buckets}, schema=target)
 

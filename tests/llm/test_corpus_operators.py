@@ -172,6 +172,20 @@ def test_near_dedup_table(spark, real):
     assert [got[r.doc_id] for r in rows] == [rows[i].doc_id for i in want]
 
 
+def test_near_dedup_short_texts(spark):
+    """Pairs of few shingles, a word more or less at either end, and around the longest short text."""
+    rng, texts = random.Random(17), []
+    for n in [4, 5, 5, 6, 7, 8, 9, 10, 15, 26, 31, 32, 33, 36, 40]:  # shingles of the longer text
+        for _ in range(4):
+            base = [f"u{rng.randrange(100_000)}" for _ in range(n + 4)]
+            cut = rng.randint(0, n // 5)
+            texts += [" ".join(base), " ".join(base[cut:] if rng.random() < 0.5 else base[: len(base) - cut])]
+    texts += ["a b c d e f g h i", "a b c d e f g h", "p q r s t u v w x y", "p q r s t u v w x"]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_near(texts)
+    assert got[len(texts) - 3] == len(texts) - 4 and got[len(texts) - 1] == len(texts) - 2
+
+
 def test_blocks_miss_no_pair(spark, monkeypatch):
     monkeypatch.setattr(blocks, "CHUNK", 7)
     rows = [(b, n, 1, n % 5, 60, bytes([n])) for b in (1, 2) for n in range(60)] + [(3, 1, 1, 1, 1, b"x")]
