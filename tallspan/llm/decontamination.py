@@ -7,8 +7,9 @@ similarity of 0.19 or more, and one of HASHES minima agrees but once in 20,000 t
 candidates; each candidate is verified by the exact share of the item's shingles (as words) in the whole document.
 
 Items are the stated queries. They are sent to the executors in blocks of bounded size; documents are never
-shuffled. Words are split at ASCII white space and compared in lower case. An item of fewer than five words is one
-shingle of all its words, looked up as such. Items or documents that are null or without words match nothing.
+shuffled. Words are split at ASCII white space and compared in lower case. An item of one to FEW shingles
+is a candidate wherever one of them is. An item of fewer than five words is one shingle of all its words, looked up
+as such. Items or documents that are null or without words match nothing.
 Repeated items and documents give a row each. Extra columns are not read.
 """
 
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import WordCodes, arrow_schema, prepare, read, shingle_hashes, texts
 
 SHINGLE, SIMILARITY, HASHES = 5, 0.8, 48
+#: Shingles up to which an item is looked up by each of them: too few for the minima of a window.
+FEW = 4
 #: Items in a block, and UTF-8 bytes of their texts: what one broadcast holds.
 MOST_ITEMS, MOST_ITEM_BYTES = 20_000, 32 << 20
 
@@ -52,14 +55,20 @@ class ItemIndex:
         codes = WordCodes()
         self.ids, self.sets = ids, [shingles(words(t)) for t in item_texts]
         self.short: dict[bytes, list[int]] = {}
+        self.few: dict[int, list[int]] = {}
         by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
         for i, t in enumerate(item_texts):
             if len(w := words(t)) >= SHINGLE:
                 h = shingle_hashes(codes.hashes_of(w), SHINGLE)
+                if len(h) <= FEW:
+                    for x in set(h.tolist()):
+                        self.few.setdefault(x, []).append(i)
+                    continue
                 by_size.setdefault(max(8, 1 << int(len(h) - 1).bit_length()), []).append((i, h))
             elif w:
                 self.short.setdefault(b" ".join(w), []).append(i)
         self.lengths = sorted({x.count(b" ") + 1 for x in self.short})
+        self.few_hashes = np.array(sorted(self.few), np.uint64)
         self.sizes: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for size, items in by_size.items():
             starts = np.cumsum([0] + [len(h) for _, h in items])[:-1]
@@ -68,7 +77,7 @@ class ItemIndex:
             self.sizes[size] = [(m[o], which[o]) for k in range(HASHES) for m in [minima(every, starts, k)] for o in [np.argsort(m, kind="stable")]]
 
     def candidates(self, hashes: list[np.ndarray]) -> set[tuple[int, int]]:
-        """(document, item) pairs of which a window's minimum agrees."""
+        """(document, item) pairs of which a window's minimum agrees, or any shingle of an item of few."""
         found: set[tuple[int, int]] = set()
         filled = [i for i, h in enumerate(hashes) if len(h)]
         if not filled:
@@ -76,6 +85,11 @@ class ItemIndex:
         every = np.concatenate([hashes[i] for i in filled])
         length = np.array([len(hashes[i]) for i in filled])
         offset = np.cumsum(length) - length
+        if len(self.few_hashes):
+            near = np.minimum(np.searchsorted(self.few_hashes, every), len(self.few_hashes) - 1)
+            for at in np.flatnonzero(self.few_hashes[near] == every):
+                d = filled[int(np.searchsorted(offset, at, "right")) - 1]
+                found.update((d, i) for i in self.few[int(every[at])])
         layout = {}
         for size in self.sizes:
             n = -(-length // size)

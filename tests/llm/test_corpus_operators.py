@@ -296,6 +296,17 @@ def test_decontamination_cases(spark, monkeypatch):
     assert decontamination.find_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_decontamination_items_of_few_shingles():
+    """Each item of 5 to 9 words is found in a long document: the minima of a window missed some."""
+    rng = random.Random(23)
+    text = lambda n: [f"v{rng.randrange(90_000)}" for _ in range(n)]
+    items = [text(5 + i % 5) for i in range(1500)]
+    docs = [[w.encode() for w in text(40) + x + text(40)] for x in items] + [[], [b"one"]]
+    index, codes = decontamination.ItemIndex(list(range(1500)), [" ".join(x) for x in items]), decontamination.WordCodes()
+    hashes = [decontamination.shingle_hashes(codes.hashes_of(d), 5) if len(d) >= 5 else np.zeros(0, np.uint64) for d in docs]
+    assert {(d, i) for d, i, _ in index.matches(docs, hashes, 0.8)} == {(i, i) for i in range(1500)}
+
+
 def check_shards(rows, shards):
     by = defaultdict(list)
     for r in rows:
