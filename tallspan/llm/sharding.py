@@ -1,15 +1,16 @@
 """Sharding by histogram sort: exact byte counts below probe keys, refined until splitters are close, one exchange.
 
-Rows are ordered by a 63-bit key: the text's hash above, a hash of the id below, so equal texts are neighbours but
-a hot text still falls apart into many keys; ties are ordered by id. Each round counts bytes and rows between the
+Rows are ordered by a 63-bit key: a hash of the text, then of the id, then of the row itself, so equal texts are
+neighbours but a hot text, and a row that is repeated very often, still fall apart into many keys. Each round counts bytes and rows between the
 probes over all partitions; intervals that hold a splitter and are wider than the tolerance, and intervals with
 too many rows for one task, get new probes, and probes that are not needed any more go, so there is always room.
 When all are fine enough, each interval is one piece of the exchange:
 its shard is where its bytes fall, its first slot is the rows of its shard before it.
 
-Law `bytes`: shard sizes differ by no more than the tolerance and one row, or the rows of one key (repeated rows). Null texts have no bytes besides the
-fixed 16. With fewer rows than shards some shards are empty. Repeated rows are separate rows. Rows with a null id
-are placed by a hash of nothing. Other columns are carried along; columns named as the results are replaced.
+Law `bytes`: shard sizes differ by no more than the tolerance and one row. Null texts have no bytes besides the
+fixed 16. With fewer rows than shards some shards are empty. Repeated rows are separate rows, also those with a null
+id: each gets a slot of its own, which of them gets which is left open. Other columns are carried along; columns
+named as the results are replaced.
 """
 
 from __future__ import annotations
@@ -25,14 +26,19 @@ FIXED_BYTES = 16
 #: Probes that an interval is cut by, and the bound of all probes: what the driver holds, whatever the input.
 FIRST_PROBES, MORE_PROBES, MOST_PROBES = 4096, 64, 60_000
 #: Share of a shard by which a splitter may be off, and share of all rows that one piece may hold.
-TOLERANCE, PIECE = 0.002, 1 / 1500
+TOLERANCE, PIECE = 0.0005, 1 / 1500
+
+
+#: Bits of the key that come from the id and from the row; the text has the 31 above.
+ID_BITS, ROW_BITS = 14, 18
 
 
 def order_key(text: Column, id_: Column) -> Column:
-    """39 bits of the text's hash, then 24 bits of the id's."""
-    high = F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 25)
-    low = F.shiftrightunsigned(F.xxhash64(id_.cast("string"), F.lit("shard")), 40)
-    return F.shiftleft(high, 24).bitwiseOR(low).bitwiseAND(F.lit((1 << 63) - 1))
+    """Hashes of the text, the id and the row's place in the input; to be written once, as places may change when read anew."""
+    high = F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 33)
+    low = F.shiftrightunsigned(F.xxhash64(id_.cast("string"), F.lit("shard")), 64 - ID_BITS)
+    row = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id(), F.lit("row")), 64 - ROW_BITS)
+    return F.shiftleft(F.shiftleft(high, ID_BITS).bitwiseOR(low), ROW_BITS).bitwiseOR(row)
 
 
 def between(rows: DataFrame, probes: np.ndarray) -> DataFrame:
