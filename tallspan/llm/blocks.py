@@ -17,8 +17,8 @@ CHUNK = 1024
 
 
 def still_open(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """bucket, node, n, size, component of the members of buckets that hold more than one group."""
-    known = members.select("bucket", "node", "n", "size").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    """members (bucket, node, and others), with their component, of those of buckets that hold more than one group."""
+    known = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = known.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("bucket")
     return settled(known.join(several, "bucket"))
 

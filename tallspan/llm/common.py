@@ -12,7 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of an Arrow batch: texts can be long, so a batch is bounded by bytes as well.
@@ -156,6 +156,37 @@ def fraction(df: DataFrame, key: str, share: float) -> DataFrame:
 BROADCAST_ROWS = 1_000_000
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """16 bytes that name a row by its id and text; repeated rows have the same."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("|"), F.coalesce(F.col(text_col), F.lit(""))).cast("binary")))
+
+
+#: Rows of one key from which spread_join deals them out, and the share of all rows that may be exceeded besides.
+HOT_ROWS, HOT_SHARE = 1024, 1 / 10_000
+
+
+def spread_join(rows: DataFrame, values: DataFrame, key: str, salt: Column, counts: DataFrame | None = None, counted: DataFrame | None = None) -> DataFrame:
+    """rows joined with values (some rows for each key) on key; rows of a hot key are dealt to several tasks.
+
+    A key is hot if it has over HOT_ROWS rows and over HOT_SHARE of all, so at most 10,000 keys are, whatever the
+    input, and their names may be broadcast. salt is a number that differs between rows of a key and is the same when
+    a row is made again. counts (key, n_rows) spares the counting; counted is a narrower table with the same keys.
+    """
+    of = rows if counted is None else counted
+    total = of.count()
+    if counts is None:
+        counts = of.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    each = max(HOT_ROWS, total * HOT_SHARE)
+    hot = counts.filter(F.col("n_rows") > each).select(F.col(key).alias("__hot"), F.ceil(F.col("n_rows") / each).cast("int").alias("__copies")).checkpoint()
+    if hot.isEmpty():
+        return rows.join(values, key)
+    hot = F.broadcast(hot)
+    copies = F.coalesce("__copies", F.lit(1))
+    dealt = rows.join(hot, rows[key] == F.col("__hot"), "left").withColumn("__salt", F.pmod(salt, copies).cast("int")).drop("__hot", "__copies")
+    copied = values.join(hot, values[key] == F.col("__hot"), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("__hot", "__copies")
+    return dealt.join(copied, [key, "__salt"]).drop("__salt")
+
+
 def flagged(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """docs with a boolean: whether doc_id is in ids (one column doc_id). ids is broadcast only after a count."""
     ids = ids.filter(F.col("doc_id").isNotNull()).distinct().withColumn(name, F.lit(True))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallspan.llm import blocks, decontamination, line_dedup, near_dedup, sharding
+from tallspan.llm.common import spread_join
 from tallspan.llm.components import components, joined
 
 SF = "/root/testdata/sf0.001"
@@ -195,18 +196,25 @@ def test_blocks_miss_no_pair(spark, monkeypatch):
     assert len(got) == len(want) and set(got) == want
 
 
-def plain_lines(rows, most=1, least=line_dedup.MIN_CHARS):
+def plain_lines(rows, least=line_dedup.MIN_CHARS):
     """rows: (doc_id, text), by doc_id."""
-    unique = list(dict.fromkeys(x for _, t in rows for x in t.split("\n") if len(x) >= least))
-    by_length = defaultdict(list)
+    every = list(dict.fromkeys(x for _, t in rows for x in t.split("\n") if x.strip()))
+    unique = [x for x in every if len(x) >= least] + [x for x in every if len(x) < least]
+    by_length, index, links = defaultdict(list), {x: i for i, x in enumerate(unique)}, []
+    counts = [np.frombuffer(line_dedup.character_counts(x), np.uint8).astype(int) for x in unique]
     for i, x in enumerate(unique):
-        by_length[len(x)].append(i)
-    links = [(i, j) for i, x in enumerate(unique) for n in range(len(x) - most, len(x) + 1) for j in by_length[n] if i != j and np.abs(np.frombuffer(line_dedup.character_counts(x), np.uint8).astype(int) - np.frombuffer(line_dedup.character_counts(unique[j]), np.uint8)).sum() <= 2 * most and edits(x, unique[j]) <= most]
-    top, index, seen, out = closed(len(unique), links), {x: i for i, x in enumerate(unique)}, set(), {}
+        if len(x) >= least:
+            by_length[len(x)].append(i)
+    for i, x in enumerate(unique):
+        for n in range(max(least, len(x) - 20), len(x) + 1):
+            if len(x) < least or len(x) - n > (most := line_dedup.edits_of(n)):
+                continue
+            links += [(i, j) for j in by_length[n] if i != j and np.abs(counts[i] - counts[j]).sum() <= 2 * most and edits(x, unique[j]) <= most]
+    top, seen, out = closed(len(unique), links), set(), {}
     for i, t in rows:
         kept = []
         for x in t.split("\n"):
-            if len(x) >= least:
+            if x.strip():
                 if top[index[x]] in seen:
                     continue
                 seen.add(top[index[x]])
@@ -242,6 +250,37 @@ def test_line_dedup_table(spark, real):
     assert {r.doc_id: r.text for r in line_dedup.op4(spark, SF).collect()} == plain_lines(rows)
 
 
+def test_line_keys_are_substrings():
+    """Two keys are equal if and only if their substrings and their places among the segments are."""
+    rng, maker = random.Random(3), line_dedup.KeyMaker(None)
+    lines = ["".join(rng.choice("ab") for _ in range(rng.choice([32, 33, 34, 140, 141]))) for _ in range(60)] + ["é" * 40, "𝄞" * 33]
+    bucket, node = maker.keys(lines, np.arange(0, 2 * len(lines), 2, dtype=np.uint64))
+    want = [(2 * i + own, (short, k, x[at : at + size])) for i, x in enumerate(lines) for short, k, at, size, own in line_dedup.selections(len(x))]
+    assert node.tolist() == [i for i, _ in want]
+    assert len(set(bucket.tolist())) == len({key for _, key in want}) == len(set(zip(bucket.tolist(), (key for _, key in want), strict=True)))
+
+
+def test_line_dedup_crowded_keys(spark):
+    """Hundreds of lines that begin alike share a key with each other; two of them are near, and so are two short lines."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    pool = ["a common beginning of a line " + word(29) for _ in range(400)] + ["yes", "no thanks", "  "]
+    pool += [pool[7][:40] + "Z" + pool[7][41:], pool[300] + "Z"]
+    rows = [(i, "\n".join(rng.sample(pool, 3) + [pool[i % len(pool)]])) for i in range(500)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert {r.doc_id: r.text for r in got} == plain_lines(rows)
+    entries = line_dedup.packed_entries(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).select("text"), None, 8)
+    assert line_dedup.shared_buckets(entries, 8).filter("crowded").count() > 0
+
+
+def test_spread_join(spark):
+    rows = spark.createDataFrame([(i % 7 if i % 3 else 0, i) for i in range(12_000)] + [(None, 1)], "k long, v long")
+    values = spark.createDataFrame([(i, w) for i in range(6) for w in ("a", "b")], "k long, w string")
+    got = spread_join(rows, values, "k", F.col("v"))
+    assert sorted(map(tuple, got.select("k", "v", "w").collect())) == sorted(map(tuple, rows.join(values, "k").select("k", "v", "w").collect()))
+    assert got.columns == ["k", "v", "w"]
+
+
 def test_line_dedup_long_lines(spark):
     """Longer lines may have more edits: each pair here goes up to that number and stays beyond it."""
     rng, rows, want = random.Random(4), [], {}
@@ -338,6 +377,16 @@ def test_sharding_hot_text(spark):
     assert sharding.assign_shards(df.limit(0), 7).count() == 0
 
 
+def test_sharding_repeated_rows(spark):
+    """Rows without an id and of one text are dealt out like any others."""
+    rows = [(None, "x" * 14) for _ in range(3000)] + [(i, f"{i:014}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).select("doc_id", "text", (F.octet_length("text") + 16).cast("long").alias("size"), sharding.order_key(F.col("text"), F.col("doc_id")).alias("key")).checkpoint()
+    placed = sharding.assign_shards(df, 8).collect()
+    sizes = check_shards(placed, 8)
+    assert sorted((r.doc_id or -1, r.text) for r in placed) == sorted((i or -1, t) for i, t in rows)
+    assert len(sizes) == 8 and max(sizes.values()) - min(sizes.values()) <= 2 * 30
+
+
 @pytest.mark.parametrize("copied", [50, 200, 1400])
 def test_sharding_many_hot_texts(monkeypatch, copied):
     """Many texts with more rows than a piece may hold: all of them are cut, within the bound of probes."""
