@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .components import settled
 
 #: Rows of a bucket that one chunk holds, on average; a block is one chunk against another.
-CHUNK = 1024
+CHUNK = 4096
 
 
 def still_open(members: DataFrame, groups: DataFrame) -> DataFrame:

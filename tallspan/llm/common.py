@@ -172,10 +172,9 @@ def spread_join(rows: DataFrame, values: DataFrame, key: str, salt: Column, coun
     input, and their names may be broadcast. salt is a number that differs between rows of a key and is the same when
     a row is made again. counts (key, n_rows) spares the counting; counted is a narrower table with the same keys.
     """
-    of = rows if counted is None else counted
-    total = of.count()
     if counts is None:
-        counts = of.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+        counts = (rows if counted is None else counted).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    total = counts.agg(F.sum("n_rows")).first()[0] or 0
     each = max(HOT_ROWS, total * HOT_SHARE)
     hot = counts.filter(F.col("n_rows") > each).select(F.col(key).alias("__hot"), F.ceil(F.col("n_rows") / each).cast("int").alias("__copies")).checkpoint()
     if hot.isEmpty():

@@ -123,16 +123,21 @@ class ItemIndex:
                     yield from ((d, i, 1) for i in self.short[x])
 
 
+def hashes_of(split: list[list[bytes]], codes: WordCodes) -> list[np.ndarray]:
+    return [shingle_hashes(codes.hashes_of(w), SHINGLE) if len(w) >= SHINGLE else np.zeros(0, np.uint64) for w in split]
+
+
 def blocks_of(items: DataFrame) -> Iterator[tuple[list[int], list[str]]]:
     """The items, in blocks that are bounded in number and bytes."""
     ids, held, size = [], [], 0
     for row in items.toLocalIterator():
-        if ids and (len(ids) >= MOST_ITEMS or size + len(row["text"]) > MOST_ITEM_BYTES):
+        own = len(row["text"].encode())
+        if ids and (len(ids) >= MOST_ITEMS or size + own > MOST_ITEM_BYTES):
             yield ids, held
             ids, held, size = [], [], 0
         ids.append(row["doc_id"])
         held.append(row["text"])
-        size += len(row["text"])
+        size += own
     if ids:
         yield ids, held
 
@@ -152,8 +157,7 @@ def find_items(docs: DataFrame, items: DataFrame, least: float = SIMILARITY, id_
             for b in batches:
                 names = b.column("doc_id").to_pylist()
                 split = [words(t) for t in b.column("text").to_pylist()]
-                hashes = [shingle_hashes(codes.hashes_of(w), SHINGLE) if len(w) >= SHINGLE else np.zeros(0, np.uint64) for w in split]
-                rows = [(names[d], index.ids[i], n, len(index.sets[i]), n / len(index.sets[i])) for d, i, n in index.matches(split, hashes, least)]
+                rows = [(names[d], index.ids[i], n, len(index.sets[i]), n / len(index.sets[i])) for d, i, n in index.matches(split, hashes_of(split, codes), least)]
                 if rows:
                     yield pa.RecordBatch.from_pydict(dict(zip(target.names, map(list, zip(*rows, strict=True)), strict=True)), schema=target)
 
@@ -161,10 +165,21 @@ def find_items(docs: DataFrame, items: DataFrame, least: float = SIMILARITY, id_
     return out
 
 
-def clean(docs: DataFrame, items: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Documents that hold no item. The ids of those that do are few; Spark broadcasts or shuffles them by their size."""
-    bad = find_items(docs, items, least).select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+def clean(docs: DataFrame, items: DataFrame, least: float = SIMILARITY, text_col: str = "text") -> DataFrame:
+    """The rows of docs that hold no item, each judged by its own text; one narrow pass for each block of items."""
+    spark, schema = prepare(docs.sparkSession), docs.schema
+    for ids, held in blocks_of(texts(items, "item_id", "text")):
+        shared = spark.sparkContext.broadcast((ids, held))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index, codes = ItemIndex(*shared.value), WordCodes()
+            for b in batches:
+                split = [words(t or "") for t in b.column(text_col).to_pylist()]
+                bad = {d for d, _, _ in index.matches(split, hashes_of(split, codes), least)}
+                yield b.filter(pa.array([d not in bad for d in range(len(split))], pa.bool_()))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

@@ -1,44 +1,48 @@
 """Near-duplicate groups by Order MinHash, verified by banded alignment.
 
-A text is the sequence of its five-word shingles (lower-case words between ASCII white space), each labelled by
-its occurrence number. A sketch takes the LENGTH shingles of least hash and keeps them in the order of the text;
-two texts share a sketch with a probability of about similarity ** LENGTH, so at the threshold one of SKETCHES
-agrees but once in 200,000 times. A text of up to SHORT shingles has too few for that; it is keyed by the fifth of
-them (and one more) of least hash, of which any two similar texts share one. Texts of one value form a bucket.
+The k-mers of a text are its five-word shingles (lower-case words between ASCII white space), each labelled by its
+occurrence number. A sketch takes the LENGTH k-mers of least hash and keeps them in the order of the text; two texts
+share one of SKETCHES with a probability of 1 - (1 - s ** LENGTH) ** SKETCHES or so, where s is the share of all their
+k-mers that both have. A text of up to SHORT k-mers has too few for that: it is keyed by so many of its least ones
+that any two texts with enough in common share one. Texts of one value form a bucket.
 
 Candidates are compared in rounds. First each text of a bucket is compared with the bucket's least text, so copies
 of a text cost one comparison each; then, where a bucket still holds several groups, with another text of the
 bucket, chosen anew for each bucket; last, all pairs of a bucket that are still in different groups are compared.
-A digest (the least shingle of each of BINS bins) rules out pairs that are several standard deviations below the
-similarity before their texts are moved. The last pairs are looked for in blocks of a bucket that are bounded in
-rows, and pairs inside a group are never made; no bucket is cut short.
+A digest (the least k-mer of each of BINS bins) rules out pairs that are several standard deviations below the
+overlap before their texts are moved. The last pairs are looked for in blocks of a bucket that are bounded in
+rows, and pairs inside a group are never made; no bucket is cut short. Texts of n rows in a bucket that stay apart
+are sent n / CHUNK times in that round.
 
-A pair is a link if an alignment of the two shingle sequences matches m of them and m / (n1 + n2 - m) >= 0.8,
-found by bit-parallel LCS inside the band that this bound leaves. Groups are the connected components of links.
+A pair is a link if the texts are near by edits of words: an alignment of the two word sequences matches m words and
+m / (n1 + n2 - m) >= 0.8, found by bit-parallel LCS inside the band that this bound leaves, and two fifths of the
+longer text's k-mers are in the other one too. (One word in nine may be replaced, which breaks five of nine k-mers.)
+Groups are the connected components of links.
 
 Equal texts are one text from the start (null counts as empty) and always one group. A text of one to four words
-is one shingle; texts without words group with equal texts only. class_id is the least doc_id of the group; rows
-that repeat a doc_id are one document. Extra columns are not read.
+is one k-mer; texts without words group with equal texts only. class_id is the least doc_id of the group, null if all
+its ids are; each row of the input, repeated or without an id, gets a row. Extra columns are not read.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import pairs_in_blocks, still_open
-from .common import BROADCAST_ROWS, WordCodes, mix, prepare, read, shingle_hashes, with_checkpoints
+from .common import BROADCAST_ROWS, WordCodes, mix, prepare, read, row_key, shingle_hashes, spread_join, with_checkpoints
 from .components import components, joined, settled
 
-SHINGLE, SIMILARITY, LENGTH, SKETCHES = 5, 0.8, 6, 40
-#: Shingles up to which a text is looked for by its rarest ones instead of sketches.
+SHINGLE, SIMILARITY, LENGTH, SKETCHES = 5, 0.8, 3, 40
+#: Share of the longer text's k-mers that the other has; then both have a quarter of all, or more.
+OVERLAP, LEAST_JACCARD = 0.4, 0.25
+#: K-mers up to which a text is looked for by its least ones instead of sketches.
 SHORT = 32
-#: Bins of the digest that rules out pairs far below the similarity before their texts are fetched.
+#: Bins of the digest that rules out pairs far below the overlap before their texts are fetched.
 BINS = 512
 
 _A = (np.random.default_rng(31).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -74,19 +78,21 @@ def digest(labelled: np.ndarray) -> np.ndarray:
 
 
 def maybe_similar(one: np.ndarray, many: np.ndarray, total: np.ndarray, deviations: float = 3.5) -> np.ndarray:
-    """Whether digests agree as often as texts of the least similarity do, less some standard deviations.
+    """Whether digests agree as often as those of texts with enough in common do, less some standard deviations.
 
-    total: shingles of both texts; with few (a short text's pairs) the test is exact. Bins that are filled are a sample, without repetition, of the union.
+    total: k-mers of both texts; with few (a short text's pairs) the test is exact. Bins that are filled are a
+    sample, without repetition, of the union.
     """
     filled = np.maximum(((many | one) > 0).sum(1), 1)
     same = ((many == one) & (one > 0)).sum(1)
-    left = np.clip(1 - filled * (1 + SIMILARITY) / total, 0.02, 1)
-    # The shingles that similar texts don't share are at most a ninth of all; no other makes a bin differ.
-    return np.where(total <= SHORT * 9 // 4, (filled - same) * 9 <= total, same >= filled * (SIMILARITY - deviations * np.sqrt(SIMILARITY * (1 - SIMILARITY) / filled * left)))
+    left = np.clip(1 - filled * (1 + LEAST_JACCARD) / total, 0.02, 1)
+    # K-mers that only one text has are at most 1 - OVERLAP of all; no other makes a bin differ.
+    few = (filled - same) <= (1 - OVERLAP) * total
+    return np.where(total <= SHORT * 9 // 4, few, same >= filled * (LEAST_JACCARD - deviations * np.sqrt(LEAST_JACCARD * (1 - LEAST_JACCARD) / filled * left)))
 
 
 def allowed(one: np.ndarray, many: np.ndarray, n: int, ns: np.ndarray) -> np.ndarray:
-    ok = np.minimum(ns, n) >= SIMILARITY * np.maximum(ns, n)
+    ok = np.minimum(ns, n) + 1 >= SIMILARITY * np.maximum(ns, n)  # a text has four words more than k-mers
     ok[ok] = maybe_similar(one, many[ok], ns[ok] + n)
     return ok
 
@@ -105,11 +111,15 @@ def order_minhash(labelled: np.ndarray, length: int = LENGTH) -> np.ndarray:
     return out
 
 
+def needed(n: int) -> int:
+    """K-mers of n that the other text must have, if it has no more."""
+    return -int(-n * OVERLAP // 1)
+
+
 def prefix_keys(labelled: np.ndarray) -> np.ndarray:
-    """The least n // 5 + 1 of n labelled shingles, marked: texts at the similarity have at least 4 n / 5 of them in
-    common, in the same order of hashes, so they share one of these.
-    """
-    return mix(np.sort(labelled)[: len(labelled) // 5 + 1] ^ np.uint64(0xA0761D6478BD642F))
+    """The least of the labelled k-mers, marked: so many that a text that lacks them all has too little in common."""
+    n = len(labelled)
+    return mix(np.sort(labelled)[: n - needed(n) + 1] ^ np.uint64(0xA0761D6478BD642F))
 
 
 def buckets_of(labelled: np.ndarray) -> np.ndarray:
@@ -117,7 +127,7 @@ def buckets_of(labelled: np.ndarray) -> np.ndarray:
     n = len(labelled)
     if n <= SHORT:
         return prefix_keys(labelled)
-    if n * 4 <= SHORT * 5:
+    if n * 4 <= SHORT * 5 + 5:
         return np.concatenate([order_minhash(labelled), prefix_keys(labelled)])
     return order_minhash(labelled)
 
@@ -128,10 +138,10 @@ def banded_lcs(a: list[int], b: list[int], band: int) -> int:
     Bits of v are rows of a column of the table: 0 where the length steps up. The rows of the band slide along:
     those left behind are counted, new ones come in as ones.
     """
-    where: dict[int, list[int]] = {}
+    where: dict[int, int] = {}
     for i, x in enumerate(a):
-        where.setdefault(x, []).append(i)
-    low, high, v, done, n = 0, 0, 0, 0, len(a)
+        where[x] = where.get(x, 0) | 1 << i
+    low, high, v, done, n, full = 0, 0, 0, 0, len(a), 0
     for j, x in enumerate(b):
         if (new := j - band) > low:
             if new >= n:
@@ -139,20 +149,18 @@ def banded_lcs(a: list[int], b: list[int], band: int) -> int:
             gone = new - low
             done += gone - (v & ((1 << gone) - 1)).bit_count()
             v >>= gone
+            full >>= gone
             low = new
         if (new := min(n, j + band + 1)) > high:
             v |= ((1 << (new - high)) - 1) << (high - low)
             high = new
-        if rows := where.get(x):
-            m = 0
-            for i in rows[bisect_left(rows, low) : bisect_left(rows, high)]:
-                m |= 1 << (i - low)
-            if u := v & m:
-                v = ((v + u) | (v - u)) & ((1 << (high - low)) - 1)
+            full = (1 << (high - low)) - 1
+        if (m := where.get(x)) and (u := v & m >> low):
+            v = ((v + u) | (v - u)) & full
     return done + (high - low) - v.bit_count()
 
 
-def similar(a: list[int], b: list[int], least: float = SIMILARITY) -> bool:
+def aligned(a: list[int], b: list[int], least: float = SIMILARITY) -> bool:
     """Whether an alignment matches m elements with m / (len(a) + len(b) - m) >= least."""
     total = len(a) + len(b)
     if not total or min(len(a), len(b)) < least * max(len(a), len(b)):
@@ -168,6 +176,19 @@ def similar(a: list[int], b: list[int], least: float = SIMILARITY) -> bool:
     return m >= least * (total - m) - 1e-9
 
 
+class Sequence:
+    """A text's words as numbers, and its labelled k-mers in order of their hashes."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.words = hashes.tolist()
+        self.kmers = np.sort(labelled_shingles(shingle_hashes(hashes, SHINGLE)))
+
+
+def similar(a: Sequence, b: Sequence) -> bool:
+    n, most = len(np.intersect1d(a.kmers, b.kmers, assume_unique=True)), max(len(a.kmers), len(b.kmers))
+    return most > 0 and n >= needed(most) and aligned(a.words, b.words)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """node, n, digest, buckets of each text (node, text); n is its number of shingles."""
     target = pa.schema([("node", pa.binary()), ("n", pa.int32()), ("digest", pa.binary()), ("buckets", pa.list_(pa.int64()))])
@@ -186,15 +207,16 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "node binary, n int, digest binary, buckets array<long>").dropDuplicates(["node"])
 
 
-def of_nodes(table: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows of table whose node is in a pair; only they are moved by the joins that follow."""
+def nodes_of(pairs: DataFrame) -> tuple[DataFrame, bool]:
+    """The nodes of pairs, and whether they are so few that they may be broadcast."""
     nodes = settled(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
-    return table.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes, "node", "left_semi")
+    return nodes, nodes.count() <= BROADCAST_ROWS
 
 
 def plausible(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
-    """pairs without those whose digests are 4.5 standard deviations below the similarity."""
-    some = of_nodes(sketched.select("node", "n", "digest"), pairs)
+    """pairs without those whose digests are 4.5 standard deviations below the overlap."""
+    nodes, few = nodes_of(pairs)
+    some = sketched.select("node", "n", "digest").join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
     side = lambda k: some.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("digest").alias(f"digest_{k}"))
     target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -205,23 +227,27 @@ def plausible(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
                 ok = maybe_similar(one, two, batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy(), 4.5)
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=target).filter(pa.array(ok))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a binary, b binary")
+    both = spread_join(spread_join(pairs, side("a"), "a", F.xxhash64("b")), side("b"), "b", F.xxhash64("a"), counted=pairs)
+    return both.mapInArrow(run, "a binary, b binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) whose texts align."""
-    text = of_nodes(docs, pairs).groupBy("node").agg(F.first("text").alias("text"))
-    both = pairs.join(text.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(text.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    """Those of pairs (a, b) whose texts align. Of equal texts one is moved, whatever their number."""
+    nodes, few = nodes_of(pairs)
+    one = lambda rows: rows.groupBy("node").agg(F.first("text").alias("text"))
+    text = one(docs.join(F.broadcast(nodes), "node", "left_semi")) if few else one(docs).join(nodes, "node", "left_semi")
+    side = lambda k: text.select(F.col("node").alias(k), F.col("text").alias(f"text_{k}"))
+    both = spread_join(spread_join(pairs, side("a"), "a", F.xxhash64("b")), side("b"), "b", F.xxhash64("a"), counted=pairs)
     target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, kept = WordCodes(), {}
 
-        def sequence(node: bytes, text: str) -> list[int]:
+        def sequence(node: bytes, text: str) -> Sequence:
             if node not in kept:
                 if len(kept) >= 64:
                     kept.clear()
-                kept[node] = shingle_hashes(codes.hashes_of(words(text)), SHINGLE).tolist()
+                kept[node] = Sequence(codes.hashes_of(words(text)))
             return kept[node]
 
         for batch in batches:
@@ -232,30 +258,61 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id (least doc_id of the group), n_rows (of the group) for every row of docs."""
-    prepare(with_checkpoints(docs.sparkSession))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.unhex(F.md5(text.cast("binary"))).alias("node"))
-    sketched = sketches(docs.select("node", "text")).checkpoint()
+def linked_groups(docs: DataFrame) -> DataFrame:
+    """node, component of the texts (node, text) that are linked with another."""
+    sketched = sketches(docs).checkpoint()
     rows = sketched.select(F.explode("buckets").alias("bucket"), "node", "n")
     first = rows.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = rows.join(first, "bucket").checkpoint()  # of buckets of two or more
-    apart = (F.col("node") != F.col("lead.node")) & (F.least("n", "lead.n") >= SIMILARITY * F.greatest("n", "lead.n"))
+    apart = (F.col("node") != F.col("lead.node")) & (F.least("n", "lead.n") + 1 >= SIMILARITY * F.greatest("n", "lead.n"))
     couple = (F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
 
     pairs = settled(members.filter(apart).select(*couple).distinct())
     groups = settled(components(settled(verified(settled(plausible(pairs, sketched)), docs))))
     # Where buckets still hold several groups: another lead for each bucket, then every pair that is left.
+    members = members.drop("lead")
     known = still_open(members, groups)
     lead = known.groupBy("bucket").agg(F.min_by(F.struct("node", "n", "component"), F.xxhash64("node", "bucket")).alias("lead"))
     more = known.join(lead, "bucket").filter(apart & (F.col("component") != F.col("lead.component"))).select(*couple).distinct().join(pairs, ["a", "b"], "left_anti")
     groups = joined(groups, settled(verified(settled(plausible(settled(more), sketched)), docs)))
     rest = settled(pairs_in_blocks(still_open(members, groups).join(sketched.select("node", "digest"), "node"), allowed, "binary"))
-    groups = joined(groups, settled(verified(rest, docs)))
-    narrow = docs.select("doc_id", "node").join(groups, "node", "left").select("doc_id", F.coalesce("component", "node").alias("class"))
-    ids = narrow.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_rows"))
-    return narrow.join(ids, "class").select("doc_id", "class_id", "n_rows")
+    return joined(groups, settled(verified(rest, docs)))
+
+
+def text_node(text_col: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id (least doc_id of the group), n_rows (of the group) for every row of docs."""
+    prepare(with_checkpoints(docs.sparkSession))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), text_node(text_col).alias("node"))
+    groups = linked_groups(docs.select("node", "text"))
+    rows = docs.select("doc_id", "node").checkpoint()
+    of_text = rows.groupBy("node").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_rows"))
+    of_text = of_text.join(groups, "node", "left").checkpoint()
+    linked = of_text.filter("component is not null").select("node", "component")
+    classes = of_text.filter("component is not null").groupBy("component").agg(F.min("class_id").alias("class_id"), F.sum("n_rows").alias("n_rows"))
+    named = of_text.filter("component is null").select("node", "class_id", "n_rows").unionByName(spread_join(linked, classes, "component", F.xxhash64("node")).select("node", "class_id", "n_rows"))
+    return spread_join(rows, named, "node", F.monotonically_increasing_id(), counts=of_text.select("node", "n_rows")).select("doc_id", "class_id", "n_rows")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, of each group only that of the least id (null ids come last), once if it is repeated."""
+    prepare(with_checkpoints(docs.sparkSession))
+    named = docs.withColumn("__row", row_key(id_col, text_col))
+    groups = linked_groups(docs.select(text_node(text_col).alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    rows = named.select("__row", F.col(id_col).alias("doc_id"), text_node(text_col).alias("node"))
+    rows = rows.groupBy("__row").agg(F.first("doc_id").alias("doc_id"), F.first("node").alias("node"), F.count(F.lit(1)).alias("n_rows"))
+    rows = rows.join(groups, "node", "left").checkpoint()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    stay = settled(rows.groupBy(F.coalesce("component", "node").alias("class")).agg(F.min_by(F.struct("__row", "n_rows"), order).alias("stay")).select("stay.*"))
+    counts = stay.select("__row", "n_rows")
+    kept = spread_join(named, stay.filter("n_rows = 1").select("__row"), "__row", F.monotonically_increasing_id(), counts=counts)
+    again = stay.filter("n_rows > 1").select("__row")
+    if not again.isEmpty():
+        kept = kept.unionByName(spread_join(named, again, "__row", F.monotonically_increasing_id(), counts=counts).dropDuplicates(["__row"]))
+    return kept.select(*docs.columns)
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
