@@ -33,10 +33,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each near-duplicate group."""
-    classes = near_dedup.near_duplicates(docs)
-    stay = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__stay")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["__stay"]), "left_semi")
+    """One document of each near-duplicate group: that of least id."""
+    return near_dedup.one_of_each(docs)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
