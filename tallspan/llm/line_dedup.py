@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import pairs_in_blocks, still_open
+from .blocks import links_in_blocks, still_open
 from .common import BROADCAST_ROWS, mix, prepare, read, row_key, spread_join, with_checkpoints
 from .components import components, joined, settled
 
@@ -321,21 +321,25 @@ def shared_buckets(entries: DataFrame, parts: int) -> DataFrame:
 
 def crowded_members(docs: DataFrame, crowded: DataFrame, edits: int | None) -> DataFrame:
     """bucket, node, lead of all lines in the crowded buckets (bucket, lead), whose keys are made once more."""
-    spark, target = docs.sparkSession, pa.schema([("bucket", pa.int64()), ("node", pa.int64())])
-    small = crowded.count() <= BROADCAST_ROWS
-    wanted = spark.sparkContext.broadcast(np.sort(crowded.select("bucket").toPandas()["bucket"].to_numpy(np.int64).view(np.uint64))) if small else None
+    spark, target = docs.sparkSession, pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("lead", pa.int64())])
+    wanted = None
+    if crowded.count() <= BROADCAST_ROWS:
+        at = crowded.toPandas().sort_values("bucket", key=lambda x: x.to_numpy(np.int64).view(np.uint64))
+        wanted = spark.sparkContext.broadcast((at["bucket"].to_numpy(np.int64).view(np.uint64), at["lead"].to_numpy(np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, node in line_keys(batches, edits):
+            lead = np.zeros(len(bucket), np.int64)
             if wanted is not None:
-                at = np.minimum(np.searchsorted(wanted.value, bucket), len(wanted.value) - 1)
-                bucket, node = (x[wanted.value[at] == bucket] for x in (bucket, node))
+                at = np.minimum(np.searchsorted(wanted.value[0], bucket), len(wanted.value[0]) - 1)
+                ok = wanted.value[0][at] == bucket
+                bucket, node, lead = bucket[ok], node[ok], wanted.value[1][at[ok]]
             for i in range(0, len(bucket), 1 << 16):
                 part = slice(i, i + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[part].view(np.int64)), pa.array((node[part] & ~np.uint64(1)).view(np.int64))], schema=target)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[part].view(np.int64)), pa.array((node[part] & ~np.uint64(1)).view(np.int64)), pa.array(lead[part])], schema=target)
 
-    keys = docs.mapInArrow(run, "bucket long, node long").distinct()
-    return keys.join(F.broadcast(crowded) if small else crowded, "bucket")
+    keys = docs.mapInArrow(run, "bucket long, node long, lead long").distinct()
+    return keys if wanted is not None else keys.drop("lead").join(crowded, "bucket")
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -370,9 +374,9 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return lines.groupBy("line").agg(F.first("node").alias("node"), F.first("text").alias("text"))
 
 
-def verified(pairs: DataFrame, lines: DataFrame, edits: int | None, by: str) -> DataFrame:
-    """Links a, b (whole ids) of those of the pairs, named by a column of lines, whose texts are within the edits."""
-    side = lambda k: lines.select(F.col(by).alias(k), F.col("line").alias(f"line_{k}"), F.col("text").alias(f"text_{k}"))
+def verified(pairs: DataFrame, lines: DataFrame, edits: int | None) -> DataFrame:
+    """Links a, b (whole ids) of those of the pairs of nodes whose texts are within the edits."""
+    side = lambda k: lines.select(F.col("node").alias(k), F.col("line").alias(f"line_{k}"), F.col("text").alias(f"text_{k}"))
     both = spread_join(spread_join(pairs, side("a"), "a", F.xxhash64("b")), side("b"), "b", F.xxhash64("a"), counted=pairs)
     target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -395,13 +399,18 @@ def near_lines(docs: DataFrame, chars: int, edits: int | None = None) -> DataFra
     lines = settled(line_texts(docs, members.select("node")))
     # The lead has the indexed length, which its key is made from, so all members are near it in length.
     pairs = settled(members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
-    groups = components(settled(verified(pairs, lines, edits, "node")))
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 2")
+    groups = components(settled(verified(pairs, lines, edits)))
+    # Where a lead and a line are still in different groups, all lines of their buckets are looked at; all others are done.
+    of = lines.select("node", "line").join(groups.withColumnRenamed("node", "line"), "line", "left").select("node", F.coalesce("component", "line").alias("of"))
+    side = lambda k: of.select(F.col("node").alias(k), F.col("of").alias(f"of_{k}"))
+    apart = pairs.join(side("a"), "a").join(side("b"), "b").filter("of_a <> of_b").select(F.col("a").alias("lead"), F.col("b").alias("node"))
+    buckets = members.join(apart, ["lead", "node"], "left_semi").select("bucket").distinct()
+    left = settled(members.join(buckets, "bucket", "left_semi").select("bucket", "node"))
     counts = F.udf(character_counts, "binary", useArrow=True)
-    known = lines.select("node", "line", F.length("text").alias("n"), counts("text").alias("digest"))
-    open_ = members.select("bucket", "node").join(sizes, "bucket").join(known, "node").select("bucket", F.col("line").alias("node"), "n", "size", "digest")
-    rest = settled(pairs_in_blocks(still_open(open_, groups), lambda *x: allowed(*x, edits), "binary"))
-    return groups if rest.isEmpty() else joined(groups, settled(verified(rest, lines, edits, "line")))
+    open_ = still_open(left.join(lines.select("node", "line", F.length("text").alias("n")), "node").select("bucket", F.col("line").alias("node"), "n"), groups)
+    wanted = lines.join(open_.select(F.col("node").alias("line")).distinct(), "line", "left_semi")
+    texts = settled(wanted.select(F.col("line").alias("node"), counts("text").alias("digest"), "text"))
+    return joined(groups, settled(links_in_blocks(open_, texts, lambda *x: allowed(*x, edits), lambda: lambda a, b: within(a, b, edits))))
 
 
 def dropped_lines(docs: DataFrame, edits: int | None = None) -> DataFrame:
@@ -413,8 +422,10 @@ def dropped_lines(docs: DataFrame, edits: int | None = None) -> DataFrame:
     groups = near_lines(docs.select("text"), chars, edits)
     lines = settled(lines.join(groups.withColumnRenamed("node", "line"), "line", "left").filter("n_rows > 1 or component is not null"))
     classes = lines.filter("component is not null").groupBy("component").agg(F.min("first").alias("class_first"))
-    heads = lines.join(classes, "component", "left").withColumn("stays", F.coalesce("class_first", "first")).filter("n_rows > 1 or stays <> first")
-    return spread_join(found, heads.select("line", "first", "stays"), "line", F.monotonically_increasing_id(), counts=lines.select("line", "n_rows")).filter(where != F.col("stays")).select("key", "at", (where != F.col("first")).alias("equal"))
+    near = spread_join(lines.filter("component is not null"), classes, "component", F.xxhash64("line")).filter("n_rows > 1 or class_first <> first")
+    alone = lines.filter("component is null").select("line", "first", F.col("first").alias("stays"))
+    heads = alone.unionByName(near.select("line", "first", F.col("class_first").alias("stays")))
+    return spread_join(found, heads, "line", F.monotonically_increasing_id(), counts=lines.select("line", "n_rows")).filter(where != F.col("stays")).select("key", "at", (where != F.col("first")).alias("equal"))
 
 
 def dedup_lines(docs: DataFrame, edits: int | None = None) -> DataFrame:
