@@ -174,11 +174,11 @@ def spread_join(rows: DataFrame, values: DataFrame, key: str, salt: Column, coun
     """
     if counts is None:
         counts = (rows if counted is None else counted).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = counts.agg(F.sum("n_rows")).first()[0] or 0
-    each = max(HOT_ROWS, total * HOT_SHARE)
-    hot = counts.filter(F.col("n_rows") > each).select(F.col(key).alias("__hot"), F.ceil(F.col("n_rows") / each).cast("int").alias("__copies")).checkpoint()
-    if hot.isEmpty():
+    seen = counts.agg(F.sum("n_rows").alias("total"), F.max("n_rows").alias("most")).first()
+    each = max(HOT_ROWS, (seen["total"] or 0) * HOT_SHARE)
+    if (seen["most"] or 0) <= each:
         return rows.join(values, key)
+    hot = counts.filter(F.col("n_rows") > each).select(F.col(key).alias("__hot"), F.ceil(F.col("n_rows") / each).cast("int").alias("__copies")).coalesce(1).checkpoint()
     hot = F.broadcast(hot)
     copies = F.coalesce("__copies", F.lit(1))
     dealt = rows.join(hot, rows[key] == F.col("__hot"), "left").withColumn("__salt", F.pmod(salt, copies).cast("int")).drop("__hot", "__copies")

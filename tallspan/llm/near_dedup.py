@@ -6,13 +6,13 @@ share one of SKETCHES with a probability of 1 - (1 - s ** LENGTH) ** SKETCHES or
 k-mers that both have. A text of up to SHORT k-mers has too few for that: it is keyed by so many of its least ones
 that any two texts with enough in common share one. Texts of one value form a bucket.
 
-Candidates are compared in rounds. First each text of a bucket is compared with the bucket's least text, so copies
-of a text cost one comparison each; then, where a bucket still holds several groups, with another text of the
-bucket, chosen anew for each bucket; last, all pairs of a bucket that are still in different groups are compared.
-A digest (the least k-mer of each of BINS bins) rules out pairs that are several standard deviations below the
-overlap before their texts are moved. The last pairs are looked for in blocks of a bucket that are bounded in
-rows, and pairs inside a group are never made; no bucket is cut short. Texts of n rows in a bucket that stay apart
-are sent n / CHUNK times in that round.
+Candidates are compared in rounds. First each text is compared with the least text of all its buckets, so copies of a text
+cost one comparison each; then, where a bucket still holds several groups, with a text of the bucket, chosen anew
+for each bucket; last, all pairs of a bucket that are still in different groups are compared.
+A digest (the least k-mer of each of BINS bins, and counts of words) rules out pairs that are several standard
+deviations below the overlap, or hold too few equal words, before their texts are looked at. The last pairs are
+compared in blocks of a bucket that are bounded in rows and bytes, links are followed within the block, and pairs
+inside a group are never made; no bucket is cut short.
 
 A pair is a link if the texts are near by edits of words: an alignment of the two word sequences matches m words and
 m / (n1 + n2 - m) >= 0.8, found by bit-parallel LCS inside the band that this bound leaves, and two fifths of the
@@ -26,14 +26,14 @@ its ids are; each row of the input, repeated or without an id, gets a row. Extra
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import pairs_in_blocks, still_open
+from .blocks import links_in_blocks, still_open
 from .common import BROADCAST_ROWS, WordCodes, mix, prepare, read, row_key, shingle_hashes, spread_join, with_checkpoints
 from .components import components, joined, settled
 
@@ -43,7 +43,9 @@ OVERLAP, LEAST_JACCARD = 0.4, 0.25
 #: K-mers up to which a text is looked for by its least ones instead of sketches.
 SHORT = 32
 #: Bins of the digest that rules out pairs far below the overlap before their texts are fetched.
-BINS = 512
+BINS, WORD_BINS = 256, 256
+#: Words of texts that a task remembers while it compares them.
+MOST_WORDS = 2_000_000
 
 _A = (np.random.default_rng(31).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _B = np.random.default_rng(32).integers(1, 1 << 63, SKETCHES, dtype=np.uint64)
@@ -67,28 +69,36 @@ def labelled_shingles(h: np.ndarray) -> np.ndarray:
     return mix(h + occurrences(h).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def digest(labelled: np.ndarray) -> np.ndarray:
-    """A byte for each bin of the hash space: 0 if no shingle is in it, else taken from the least one."""
+def digest(labelled: np.ndarray, words_: np.ndarray) -> np.ndarray:
+    """A byte for each bin of the hash space: 0 if no k-mer is in it, else taken from the least one; then counts of words by hash."""
     low = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
-    at = (labelled >> np.uint64(55)).astype(np.int64)
+    at = (labelled >> np.uint64(56)).astype(np.int64)
     np.minimum.at(low, at, labelled)
     out = (low >> np.uint64(30)) % np.uint64(255) + np.uint64(1)
     out[np.bincount(at, minlength=BINS) == 0] = 0
-    return out.astype(np.uint8)
+    bag = np.minimum(np.bincount((words_ >> np.uint64(56)).astype(np.int64), minlength=WORD_BINS), 255)
+    return np.concatenate([out.astype(np.uint8), bag.astype(np.uint8)])
 
 
 def maybe_similar(one: np.ndarray, many: np.ndarray, total: np.ndarray, deviations: float = 3.5) -> np.ndarray:
     """Whether digests agree as often as those of texts with enough in common do, less some standard deviations.
 
     total: k-mers of both texts; with few (a short text's pairs) the test is exact. Bins that are filled are a
-    sample, without repetition, of the union.
+    sample, without repetition, of the union. Counts of words give a bound of the words that can be matched, which
+    is exact too; a count of 255 may be any larger one.
     """
+    bag, bags, one, many = one[..., BINS:], many[..., BINS:], one[..., :BINS], many[..., :BINS]
     filled = np.maximum(((many | one) > 0).sum(1), 1)
     same = ((many == one) & (one > 0)).sum(1)
     left = np.clip(1 - filled * (1 + LEAST_JACCARD) / total, 0.02, 1)
     # K-mers that only one text has are at most 1 - OVERLAP of all; no other makes a bin differ.
     few = (filled - same) <= (1 - OVERLAP) * total
-    return np.where(total <= SHORT * 9 // 4, few, same >= filled * (LEAST_JACCARD - deviations * np.sqrt(LEAST_JACCARD * (1 - LEAST_JACCARD) / filled * left)))
+    enough = same >= filled * (LEAST_JACCARD - deviations * np.sqrt(LEAST_JACCARD * (1 - LEAST_JACCARD) / filled * left))
+    ok = np.where(total <= SHORT * 9 // 4, few, enough)
+    bag, bags = np.broadcast_to(bag, bags.shape)[ok], bags[ok]
+    matched, every = np.minimum(bag, bags).sum(1, dtype=np.int64), bag.sum(1, dtype=np.int64) + bags.sum(1, dtype=np.int64)
+    ok[ok] = (matched * (1 + SIMILARITY) >= SIMILARITY * every - 1e-9) | (np.maximum(bag, bags).max(1, initial=0) == 255)
+    return ok
 
 
 def allowed(one: np.ndarray, many: np.ndarray, n: int, ns: np.ndarray) -> np.ndarray:
@@ -180,13 +190,28 @@ class Sequence:
     """A text's words as numbers, and its labelled k-mers in order of their hashes."""
 
     def __init__(self, hashes: np.ndarray):
-        self.words = hashes.tolist()
+        self.words = hashes
         self.kmers = np.sort(labelled_shingles(shingle_hashes(hashes, SHINGLE)))
 
 
+class Sequences(dict):
+    """Sequences of texts; forgotten together once they hold MOST_WORDS words, which bounds the memory of a task."""
+
+    def __init__(self):
+        self.codes, self.held = WordCodes(), 0
+
+    def __missing__(self, text: str) -> Sequence:
+        if self.held > MOST_WORDS:
+            self.clear()
+            self.held = 0
+        out = self[text] = Sequence(self.codes.hashes_of(words(text)))
+        self.held += len(out.words)
+        return out
+
+
 def similar(a: Sequence, b: Sequence) -> bool:
     n, most = len(np.intersect1d(a.kmers, b.kmers, assume_unique=True)), max(len(a.kmers), len(b.kmers))
-    return most > 0 and n >= needed(most) and aligned(a.words, b.words)
+    return most > 0 and n >= needed(most) and aligned(a.words.tolist(), b.words.tolist())
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -198,9 +223,9 @@ def sketches(docs: DataFrame) -> DataFrame:
         for b in batches:
             out: dict[bytes, tuple[int, bytes, np.ndarray]] = {}
             for key, text in zip(b.column("node").to_pylist(), b.column("text").to_pylist(), strict=True):
-                if key not in out and len(h := shingle_hashes(codes.hashes_of(words(text)), SHINGLE)):
-                    x = labelled_shingles(h)
-                    out[key] = (len(h), digest(x).tobytes(), buckets_of(x).view(np.int64))
+                if key not in out and len(w := codes.hashes_of(words(text))):
+                    x = labelled_shingles(shingle_hashes(w, SHINGLE))
+                    out[key] = (len(x), digest(x, w).tobytes(), buckets_of(x).view(np.int64))
             n, d, buckets = zip(*out.values(), strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_pydict({"node": list(out), "n": n, "digest": d, "buckets": buckets}, schema=target)
 
@@ -231,28 +256,29 @@ def plausible(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) whose texts align. Of equal texts one is moved, whatever their number."""
-    nodes, few = nodes_of(pairs)
+def texts_of(nodes: DataFrame, few: bool, docs: DataFrame) -> DataFrame:
+    """node, text: of equal texts one is moved, whatever their number."""
     one = lambda rows: rows.groupBy("node").agg(F.first("text").alias("text"))
-    text = one(docs.join(F.broadcast(nodes), "node", "left_semi")) if few else one(docs).join(nodes, "node", "left_semi")
+    return one(docs.join(F.broadcast(nodes), "node", "left_semi")) if few else one(docs).join(nodes, "node", "left_semi")
+
+
+def verifier() -> Callable[[str, str], bool]:
+    of = Sequences()
+    return lambda a, b: similar(of[a], of[b])
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of pairs (a, b) whose texts align."""
+    text = texts_of(*nodes_of(pairs), docs)
     side = lambda k: text.select(F.col("node").alias(k), F.col("text").alias(f"text_{k}"))
     both = spread_join(spread_join(pairs, side("a"), "a", F.xxhash64("b")), side("b"), "b", F.xxhash64("a"), counted=pairs)
     target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, kept = WordCodes(), {}
-
-        def sequence(node: bytes, text: str) -> Sequence:
-            if node not in kept:
-                if len(kept) >= 64:
-                    kept.clear()
-                kept[node] = Sequence(codes.hashes_of(words(text)))
-            return kept[node]
-
+        linked = verifier()
         for batch in batches:
             c = {n: batch.column(n).to_pylist() for n in ("a", "b", "text_a", "text_b")}
-            good = [(a, b) for a, b, s, t in zip(*c.values(), strict=True) if similar(sequence(a, s), sequence(b, t))]
+            good = [(a, b) for a, b, s, t in zip(*c.values(), strict=True) if linked(s, t)]
             yield pa.RecordBatch.from_pydict({"a": [a for a, _ in good], "b": [b for _, b in good]}, schema=target)
 
     return both.mapInArrow(run, "a binary, b binary")
@@ -267,16 +293,19 @@ def linked_groups(docs: DataFrame) -> DataFrame:
     apart = (F.col("node") != F.col("lead.node")) & (F.least("n", "lead.n") + 1 >= SIMILARITY * F.greatest("n", "lead.n"))
     couple = (F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
 
-    pairs = settled(members.filter(apart).select(*couple).distinct())
+    # Each text with the least of its buckets' leads; most others are in one group with that by then.
+    pairs = settled(members.filter(apart).groupBy("node").agg(F.min("lead").alias("lead")).select(*couple).distinct())
     groups = settled(components(settled(verified(settled(plausible(pairs, sketched)), docs))))
     # Where buckets still hold several groups: another lead for each bucket, then every pair that is left.
-    members = members.drop("lead")
+    members = members.drop("lead", "size")
     known = still_open(members, groups)
     lead = known.groupBy("bucket").agg(F.min_by(F.struct("node", "n", "component"), F.xxhash64("node", "bucket")).alias("lead"))
     more = known.join(lead, "bucket").filter(apart & (F.col("component") != F.col("lead.component"))).select(*couple).distinct().join(pairs, ["a", "b"], "left_anti")
     groups = joined(groups, settled(verified(settled(plausible(settled(more), sketched)), docs)))
-    rest = settled(pairs_in_blocks(still_open(members, groups).join(sketched.select("node", "digest"), "node"), allowed, "binary"))
-    return joined(groups, settled(verified(rest, docs)))
+    open_ = still_open(members, groups)
+    nodes = settled(open_.select("node").distinct())
+    text = texts_of(nodes, nodes.count() <= BROADCAST_ROWS, docs).join(sketched.select("node", "digest"), "node")
+    return joined(groups, settled(links_in_blocks(open_, settled(text), allowed, verifier)))
 
 
 def text_node(text_col: str) -> Column:

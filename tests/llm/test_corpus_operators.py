@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallspan.llm import blocks, decontamination, line_dedup, near_dedup, sharding
-from tallspan.llm.common import spread_join
+from tallspan.llm.common import spread_join, word_hash
 from tallspan.llm.components import components, joined
 
 SF = "/root/testdata/sf0.001"
@@ -232,13 +232,33 @@ def test_near_dedup_short_texts(spark):
     assert got[len(texts) - 3] == len(texts) - 4 and got[len(texts) - 1] == len(texts) - 2
 
 
-def test_blocks_miss_no_pair(spark, monkeypatch):
+def test_blocks_miss_no_link(spark, monkeypatch):
+    """Groups that links join within a bucket are joined, however many chunks it is dealt into."""
     monkeypatch.setattr(blocks, "CHUNK", 7)
-    rows = [(b, n, 1, n % 5, 60, bytes([n])) for b in (1, 2) for n in range(60)] + [(3, 1, 1, 1, 1, b"x")]
-    df = spark.createDataFrame(rows, "bucket long, node long, n int, component long, size long, digest binary")
-    got = [tuple(r) for r in blocks.pairs_in_blocks(df, lambda one, many, n, ns: (many[:, 0].astype(int) + one[0]) % 3 == 0, "long").collect()]
-    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if i % 5 != j % 5 and (i + j) % 3 == 0}
-    assert len(got) == len(want) and set(got) == want
+    key = lambda n: bytes([n])
+    members = spark.createDataFrame([(b, key(n), 1) for b in (1, 2) for n in range(60)] + [(3, key(1), 1)], "bucket long, node binary, n int")
+    groups = spark.createDataFrame([(key(n), key(n % 12)) for n in range(60)], "node binary, component binary")
+    texts = spark.createDataFrame([(key(n), key(n), str(n)) for n in range(60)], "node binary, digest binary, text string")
+    open_ = blocks.still_open(members, groups)
+    assert {r.bucket for r in open_.collect()} == {1, 2} and {r.chunks for r in open_.collect()} == {9}
+    near = lambda i, j: (i + j) % 31 == 0
+    found = blocks.links_in_blocks(open_, texts, lambda one, many, n, ns: (many[:, 0].astype(int) + one[0]) % 31 == 0, lambda: lambda a, b: near(int(a), int(b)) and int(a) % 2 != int(b) % 2)
+    got = [(bytes(r.a)[0], bytes(r.b)[0]) for r in found.collect()]
+    links = [(i, j) for i in range(60) for j in range(i) if i % 12 == j % 12 or near(i, j) and i % 2 != j % 2]
+    assert all(near(i, j) and i % 2 != j % 2 and i % 12 != j % 12 for i, j in got)
+    assert closed(60, got + [(i, j) for i in range(60) for j in range(i) if i % 12 == j % 12]) == closed(60, links)
+
+
+def test_digest_lets_links_through():
+    rng = random.Random(41)
+    for n in (5, 9, 20, 36, 60, 300, 3000):
+        for _ in range(15):
+            a = [rng.choice(["the", "of"] + [f"w{rng.randrange(500)}"] * 4) for _ in range(n)]
+            b = mutated(rng, a, ["new", "of"], max(1, n // 9))
+            one, two = (near_dedup.Sequence(np.array([word_hash(w.encode()) for w in x], np.uint64)) for x in (a, b))
+            if near_dedup.similar(one, two):
+                d = [near_dedup.digest(x.kmers, x.words) for x in (one, two)]
+                assert near_dedup.allowed(d[0], d[1][None], len(one.kmers), np.array([len(two.kmers)])).all()
 
 
 def plain_lines(rows, least=line_dedup.MIN_CHARS):
