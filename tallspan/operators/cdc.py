@@ -33,7 +33,7 @@ def family_marks(raw: DataFrame, plan: Plan, bookmark: int) -> DataFrame:
 def changed_cells(raw: DataFrame, plan: Plan, bookmark: int) -> DataFrame:
     """Newest raw cell of each column, newer than its family's marker, since the bookmark or a version's marker."""
     cells = prune_columns(raw, plan).filter("cell_type <> 'delete_family'")
-    newest = cells.groupBy("row_key", "family", "qualifier").agg(F.max_by(F.struct("ts", "cell_type"), "ts").alias("c"))
+    newest = cells.groupBy("row_key", "family", "qualifier").agg(F.max_by(F.struct("ts", "cell_type"), F.struct("ts", F.col("cell_type") != "put")).alias("c"))  # of one time the marker counts
     live = newest.join(family_marks(raw, plan, bookmark), ["row_key", "family"], "left").filter(F.col("mark").isNull() | (F.col("c.ts") > F.col("mark")))
     return live.filter((F.col("c.ts") >= bookmark) | (F.col("c.cell_type") == "delete_version")).withColumn("m", matched(plan.spec.columns)).filter("m is not null").select("row_key", "family", "qualifier", F.col("m.part").alias("part"))
 

@@ -36,7 +36,7 @@ def _texts(text: C, ddl: str) -> C:
 def _elements(text: C) -> C:
     """A JSON text as an array of JSON texts: an array's elements, or the value alone; null stays null."""
     many = F.coalesce(_texts(text, "array<string>"), F.array(text))  # text that only looks like an array is itself
-    return F.when(F.ltrim(text).startswith("["), many).otherwise(F.array(text))
+    return F.when(text.rlike(r"^\s*\["), many).otherwise(F.array(text))
 
 
 def _fields(tree: Leaves) -> str:

@@ -12,7 +12,7 @@ from ..operators.predicate import filtered
 from ..operators.project import key_columns, to_target, with_selected
 from ..operators.reshape import unpivot, with_parts, with_values
 from ..operators.rowkey import with_key_fields
-from ..sources.cells import in_time, latest, live, prune_columns, prune_keys
+from ..sources.cells import in_time, live, prune_columns, prune_keys
 from .analyzer import Plan, analyze, validate
 from .query import parse
 
@@ -38,13 +38,13 @@ def tall_rows(newest: DataFrame, plan: Plan, target: TargetSpec | None = None) -
 
 
 def run(cells: DataFrame, spec: SourceSpec, text: str, target: TargetSpec | None = None, low: int | None = None, high: int | None = None) -> DataFrame:
-    """Full load (no bounds) or a load of the cells in [low, high); a target shapes the result and is validated."""
+    """Full load (no bounds) or a load of the cells in [low, high), whose markers count too; a target shapes the result and is validated."""
     plan = plan_of(spec, text, target)
     if plan.key_only:  # a select of key fields only writes nothing
         empty = with_key_fields(cells.select("row_key").limit(0), spec).drop("row_key")
         return to_target(empty, target) if target else empty
     scanned = prune_columns(prune_keys(in_time(cells, low, high), plan), plan)
-    rows = tall_rows(live(scanned) if low is None else latest(scanned), plan, target)
+    rows = tall_rows(live(scanned), plan, target)
     return to_target(rows, target) if target else rows
 
 

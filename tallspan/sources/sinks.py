@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 
+from pyspark.errors.exceptions.captured import AnalysisException as CapturedAnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import SourceSpec, TargetSpec
+from ..errors import AnalysisError
 from ..operators.project import rekeyed, to_records
 from ..operators.reshape import to_cells
 
@@ -110,26 +112,53 @@ class ManagedTable(Sink):
 
 
 class CellTable(Sink):
-    """Parquet cells under the target's own row keys; deletes are family markers."""
+    """Parquet cells under the target's own row keys; deletes are family markers.
 
-    def __init__(self, path: str, spec: SourceSpec, ts: int):
-        self.path, self.spec, self.ts = path, spec, ts
+    Each write and each delete has a time of its own, later than all that is stored, so a marker hides the rows of
+    the batches before it and none of those after it. ts is the first time to be used.
+    """
 
-    def cells(self, rows: DataFrame) -> DataFrame:
+    def __init__(self, path: str, spec: SourceSpec, ts: int):
+        self.path, self.spec, self.ts, self._begun = path, spec, ts, False
+
+    def _stored(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return spark.read.parquet(self.path)
+        except CapturedAnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _now(self, spark: SparkSession) -> int:
+        if not self._begun and (stored := self._stored(spark)) is not None:
+            last = stored.agg(F.max("ts")).first()[0]
+            self.ts = self.ts if last is None else max(self.ts, last + 1)
+        self._begun, now = True, self.ts
+        self.ts += 1
+        return now
+
+    def cells(self, rows: DataFrame, ts: int) -> DataFrame:
         families = {c.name: c.family for c in self.spec.columns}
-        return to_cells(rekeyed(rows, self.spec), families, F.col("row_key"), F.lit(self.ts))
+        return to_cells(rekeyed(rows, self.spec), families, F.col("row_key"), F.lit(ts))
 
     def write(self, rows: DataFrame) -> None:
-        self.cells(rows).write.mode("append").parquet(self.path)
+        self.cells(rows, self._now(rows.sparkSession)).write.mode("append").parquet(self.path)
 
     def delete(self, all_keys: DataFrame, one_keys: DataFrame) -> None:
         """Markers for every stored row whose known key fields are among the keys; others may be anything."""
         from ..operators.rowkey import with_key_fields
 
-        stored = with_key_fields(all_keys.sparkSession.read.parquet(self.path).select("row_key").distinct(), self.spec)
+        spark = all_keys.sparkSession
+        for keys in (all_keys, one_keys):
+            if not set(keys.columns) & set(self.spec.key_names):
+                raise AnalysisError(f"deletes by {', '.join(keys.columns)} name no key field of {self.spec.schema}: {', '.join(self.spec.key_names)}")
+        if (cells := self._stored(spark)) is None:
+            return
+        ts = self._now(spark)
+        stored = with_key_fields(cells.select("row_key").distinct(), self.spec)
         for keys in (all_keys, one_keys):
             names = [n for n in self.spec.key_names if n in keys.columns]
             gone = stored.join(keys.select(*names).distinct(), names, "left_semi")
             families = F.array(*(F.lit(f) for f in sorted({c.family for c in self.spec.columns})))
-            marks = gone.select("row_key", F.explode(families).alias("family"), F.lit("").alias("qualifier"), F.lit(self.ts - 1).cast("long").alias("ts"), F.lit("delete_family").alias("cell_type"), F.lit(None).cast("binary").alias("value"))
+            marks = gone.select("row_key", F.explode(families).alias("family"), F.lit("").alias("qualifier"), F.lit(ts).cast("long").alias("ts"), F.lit("delete_family").alias("cell_type"), F.lit(None).cast("binary").alias("value"))
             marks.write.mode("append").parquet(self.path)

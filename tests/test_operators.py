@@ -194,7 +194,13 @@ def test_sinks(spark, tmp_path):
     cell.write(data)
     cell.delete(spark.createDataFrame([("a",)], "k string"), spark.createDataFrame([], "k string"))
     left = scans.live(scans.scan(spark, cell.path))
-    assert rows(left, F.decode("row_key", "UTF-8"), F.decode("value", "UTF-8")) == [("a#7", "1"), ("b#7", "none")]
+    assert rows(left, F.decode("row_key", "UTF-8"), F.decode("value", "UTF-8")) == [("b#7", "none")]
+    again = CellTable(str(tmp_path / "cells"), tall, 5)  # a later run begins after what is stored
+    again.delete(spark.createDataFrame([("b",)], "k string"), spark.createDataFrame([], "k string"))
+    again.write(data.filter("k = 'b'"))
+    assert rows(scans.live(scans.scan(spark, cell.path)), F.decode("row_key", "UTF-8"), F.decode("value", "UTF-8")) == [("b#7", "none")]
+    with pytest.raises(AnalysisError, match="no key field"):
+        again.delete(spark.createDataFrame([("b",)], "other string"), spark.createDataFrame([], "k string"))
 
 
 def test_jobs(spark, tmp_path):
@@ -234,3 +240,23 @@ def test_stream(spark, tmp_path):
     target = parse_files("t3=k:string:,A:string:;")[0]
     follow(spark.readStream.schema(scans.SCHEMA).parquet(str(tmp_path / "in")), lambda: scans.scan(spark, str(tmp_path / "in")), EV, "select D.A from e", target, sink, str(tmp_path / "cp")).awaitTermination()
     assert rows(scans.latest(scans.scan(spark, sink.path)), F.decode("row_key", "UTF-8"), F.decode("value", "UTF-8")) == [("1", "a1"), ("2", "a2")]
+    # A second batch: what it touched is replaced, also the markers' way, and a deleted row goes.
+    cells(spark, [("1", "A", "new", 9), ("2", "A", "", 9, "delete_column")]).write.mode("append").parquet(str(tmp_path / "in"))
+    follow(spark.readStream.schema(scans.SCHEMA).parquet(str(tmp_path / "in")), lambda: scans.scan(spark, str(tmp_path / "in")), EV, "select D.A from e", target, sink, str(tmp_path / "cp")).awaitTermination()
+    assert rows(scans.live(scans.scan(spark, sink.path)), F.decode("row_key", "UTF-8"), F.decode("value", "UTF-8")) == [("1", "new")]
+
+
+def test_partial_load_keeps_deletes(spark):
+    """A cell put and then deleted inside the time range stays deleted; one deleted before it is as it was put."""
+    data = cells(spark, [("1", "A", "gone", 5), ("1", "A", "", 7, "delete_column"), ("1", "B", "b", 5), ("2", "A", "a", 6), ("2", "A", "", 3, "delete_column")])
+    out = engine.run(data, EV, "select D.A,D.B from e", EV_TARGET, 0, 10)
+    assert rows(out, "k", "A", "B") == rows(engine.run(data, EV, "select D.A,D.B from e", EV_TARGET), "k", "A", "B") == [("1", None, "b"), ("2", "a", None)]
+
+
+def test_marker_counts_before_a_put_of_its_time(spark):
+    from tallspan.operators.cdc import changed_cells
+    from tallspan.plans.engine import plan_of
+
+    data = cells(spark, [("1", "A", "x", 2), ("1", "A", "", 2, "delete_version"), ("2", "A", "y", 2)])
+    got = changed_cells(data, plan_of(EV, "select D.A from e"), 3)
+    assert rows(got, F.decode("row_key", "UTF-8")) == [("1",)]
