@@ -6,6 +6,8 @@ line items; a user is a row whose columns are event types, with a version for ea
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,6 +116,11 @@ EVENT_TARGET = parse_files("ev=uid:string:,click:string:,view:string:,purchase:s
 _EVENT_QUERY = "select D.* from events"
 
 
+def partial_with_deletes(spark: SparkSession, d: str) -> DataFrame:
+    low, high = (int(datetime.fromisoformat(f"{x}+00:00").timestamp()) * 1_000_000 for x in (LOW, HIGH))
+    return engine.run(event_cells(spark, d, True), EVENTS, _EVENT_QUERY, EVENT_TARGET, low, high)
+
+
 def incremental(spark: SparkSession, d: str) -> DataFrame:
     cells, (mark, high) = event_cells(spark, d, True), _bounds(spark, d)
     before = engine.run(cells, EVENTS, _EVENT_QUERY, EVENT_TARGET, None, mark)
@@ -225,6 +232,7 @@ QUERIES = {
     "latest_version": lambda s, d: _plain_events(scans.latest(event_cells(s, d))),
     "live_cells": lambda s, d: engine.run(event_cells(s, d, True), EVENTS, _EVENT_QUERY, EVENT_TARGET),
     "time_range_partial": time_range,
+    "partial_with_deletes": partial_with_deletes,
     "rowkey_prefix": lambda s, d: rowkey.with_key_fields(scans.keys_only(scans.with_prefix(order_cells(s, d), b"F|1")), ORDERS).select("st", "ok"),
     "rowkey_point": _orders('select D.QTY<X> from orders where st = "O" and ok = "7"'),
     "key_only_scan": key_only,
@@ -268,6 +276,7 @@ ORACLE_SQL = {
     "latest_version": _newest(),
     "live_cells": _LIVE_SQL,
     "time_range_partial": _newest(f"ts >= TIMESTAMP '{LOW}' AND ts < TIMESTAMP '{HIGH}'"),
+    "partial_with_deletes": _LIVE_SQL.replace("WITH m AS", f"WITH ev AS (SELECT * FROM events WHERE ts >= TIMESTAMP '{LOW}' AND ts < TIMESTAMP '{HIGH}'), m AS").replace("FROM events", "FROM ev").replace("ev AS (SELECT * FROM ev", "ev AS (SELECT * FROM events"),
     "rowkey_prefix": _BASE.format(least=0) + "SELECT st, ok FROM o WHERE st || '|' || ok LIKE 'F|1%'",
     "rowkey_point": _sql(_LINES, "st = 'O' AND ok = '7'"),
     "key_only_scan": _BASE.format(least=0) + "SELECT st, ok FROM o",
