@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Sequence
+from heapq import heapify, heappop, heappush
 
 import regex
 from pyspark.sql import DataFrame
@@ -41,6 +42,8 @@ class TreeBPE:
         """Lowest rank first, leftmost of equals: the definition, for short spans."""
         if (whole := self.ranks.get(raw)) is not None:
             return [whole]
+        if len(raw) > 4 * LEAF:
+            return self.merge_queued(raw)
         parts = [raw[i : i + 1] for i in range(len(raw))]
         get, none = self.ranks.get, 1 << 60
         pair = [get(parts[i] + parts[i + 1], none) for i in range(len(parts) - 1)]
@@ -57,6 +60,26 @@ class TreeBPE:
                 pair[i - 1] = get(parts[i - 1] + parts[i], none)
         return [self.ranks[p] for p in parts]
 
+    def merge_queued(self, raw: bytes) -> list[int]:
+        """The same for long windows: pairs wait in a queue by rank and place, and those that are gone are passed over."""
+        n, get = len(raw), self.ranks.get
+        part: list[bytes | None] = [raw[i : i + 1] for i in range(n)]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        queue = [(r, i) for i in range(n - 1) if (r := get(raw[i : i + 2])) is not None]
+        heapify(queue)
+        while queue:
+            rank, i = heappop(queue)
+            if part[i] is None or (j := after[i]) >= n or get(both := part[i] + part[j]) != rank:
+                continue
+            part[i], part[j], after[i] = both, None, after[j]
+            if (k := after[i]) < n:
+                before[k] = i
+                if (r := get(both + part[k])) is not None:
+                    heappush(queue, (r, i))
+            if (h := before[i]) >= 0 and (r := get(part[h] + both)) is not None:
+                heappush(queue, (r, h))
+        return [self.ranks[p] for p in part if p is not None]
+
     def holds(self, a: int, b: int) -> bool:
         """Whether tokens a, b are the encoding of their own bytes."""
         if (known := self._holds.get((a, b))) is None:

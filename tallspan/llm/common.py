@@ -46,10 +46,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def with_checkpoints(spark: SparkSession) -> SparkSession:
-    """The checkpoint folder is the one the cluster names; only where none is named a temporary one is set."""
+    """The checkpoint folder is the one the cluster names; where none is named, a temporary one, on one machine only."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not (sc.master.startswith("local") and not sc.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "tallspan-checkpoints"))
     return spark
 

@@ -164,7 +164,8 @@ def score(docs: DataFrame, model: RuleModel, name: str = "score", text_col: str
 
 
 def held_out(share: int, at: int) -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(share)) == at
+    """Whether labels of this doc_id are held out; false for a null id, which has no label."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(share)) == at, F.lit(False))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ Features are a document's distinct words and the 4- and 5-character pieces of th
 (MOST_POSITIVE and MOST_UNLABELLED documents, whole texts) the features are chosen that stand out among positives.
 All documents are scored whole, in one narrow pass.
 
-Null and empty texts get the score of no evidence. Without positives all scores are 0. Extra columns are not read.
+Null and empty texts get the score of no evidence. Without positives all scores are 0. Repeated rows get a row
+each; a null doc_id has no label and is not held out. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -177,4 +178,4 @@ def op10(spark, sf_dir: str) -> DataFrame:
     docs = texts(read(spark, sf_dir, "documents"))
     labels = read(spark, sf_dir, "labels").filter("toxic is not null").filter(~held).select("doc_id", "toxic")
     weights, bias = train(docs.filter(~F.coalesce(held, F.lit(True))), labels)
-    return score(docs, weights, bias).select("doc_id", held.alias("held_out"), "score", "predicted")
+    return score(docs, weights, bias).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted")

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers as P
@@ -55,6 +56,27 @@ _TREE = bpe.TreeBPE(RANKS, P.PATTERN)
 _EXACT = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 
 
+def test_bpe_long_matches():
+    """One match of very many bytes takes time in proportion, and is what the library gives."""
+    rng = random.Random(9)
+    for n, unit in ((200_000, "="), (100_000, "-="), (200_000, "x"), (100_000, "ab")):
+        began = time.time()
+        got = _TREE.encode(unit * (n // len(unit)))
+        assert time.time() - began < 40, unit
+        if n * len(unit) <= 200_000:
+            assert _TREE.decode(got) == (unit * (n // len(unit))).encode()
+    for _ in range(60):
+        text = "".join(rng.choice("=-#*") for _ in range(rng.randint(60, 900))) + "x" * rng.randint(0, 300)
+        assert _TREE.encode(text) == _EXACT.encode_ordinary(text)
+    raw = bytes(rng.choice(b"abthe in=") for _ in range(3000))
+    assert _TREE.merge_queued(raw) == _TREE.encode_span(raw)
+
+
+def test_held_out_of_null_ids(spark):
+    rows = spark.createDataFrame([(None,), (1,), (2,)], "doc_id long").select(quality_model.held_out(4, 2).alias("h")).collect()
+    assert [r.h for r in rows][0] is False and all(r.h is not None for r in rows)
+
+
 def test_bpe_join_is_associative():
     rng = random.Random(4)
     for _ in range(200):
