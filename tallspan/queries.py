@@ -40,8 +40,9 @@ def _cents(c: str):
     return F.round(F.col(c) * 100).cast("long")
 
 
-def order_cells(spark: SparkSession, d: str, least_quantity: int = 0) -> DataFrame:
-    orders, items = _read(spark, d, "orders"), _read(spark, d, "lineitem").filter(F.col("l_quantity") > least_quantity)
+def order_cells(spark: SparkSession, d: str, drafts: bool = False) -> DataFrame:
+    """Cells of all orders and line items; drafts adds a row of status D for each order, with fixed columns only."""
+    orders, items = _read(spark, d, "orders"), _read(spark, d, "lineitem")
     key = F.encode(F.concat_ws("|", "o_orderstatus", F.col("o_orderkey").cast("string")), "UTF-8")
     fixed = F.array(F.struct(F.lit("TOTAL").alias("q"), encoded(_cents("o_totalprice").cast("string"), "long").alias("v")), F.struct(F.lit("PRIO").alias("q"), F.encode("o_orderpriority", "UTF-8").alias("v")))
     part = F.concat_ws("|", F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
@@ -50,7 +51,8 @@ def order_cells(spark: SparkSession, d: str, least_quantity: int = 0) -> DataFra
         F.struct(F.concat(F.lit("PRICE"), part).alias("q"), encoded(_cents("l_extendedprice").cast("string"), "long").alias("v")),
         F.struct(F.concat(F.lit("FLAG"), part).alias("q"), F.encode("l_returnflag", "UTF-8").alias("v")),
     )
-    a = orders.select(key.alias("k"), F.explode(fixed).alias("c"))
+    status = F.explode(F.array("o_orderstatus", F.lit("D"))) if drafts else F.col("o_orderstatus")
+    a = orders.withColumn("o_orderstatus", status).select(key.alias("k"), F.explode(fixed).alias("c"))
     b = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(key.alias("k"), F.explode(moving).alias("c"))
     return a.unionByName(b).select(*_cell(F.col("k"), F.col("c.q"), F.col("c.v")))
 
@@ -72,19 +74,22 @@ def order_json(spark: SparkSession, d: str, top_array: bool = False) -> DataFram
     return rows.select(F.col("o_orderkey").cast("string").alias("ok"), (F.to_json("items") if top_array else F.to_json(doc)).alias("J"))
 
 
-def _orders(text: str, least: int = 0):
-    return lambda spark, d: engine.run(order_cells(spark, d, least), ORDERS, text)
+def _orders(text: str, drafts: bool = False):
+    return lambda spark, d: engine.run(order_cells(spark, d, drafts), ORDERS, text)
 
 
-_BASE = """WITH o AS (SELECT o_orderstatus AS st, CAST(o_orderkey AS VARCHAR) AS ok, CAST(round(o_totalprice * 100) AS BIGINT) AS "TOTAL", o_orderpriority AS "PRIO" FROM orders),
+_BASE = """WITH o AS (SELECT o_orderstatus AS st, CAST(o_orderkey AS VARCHAR) AS ok, CAST(round(o_totalprice * 100) AS BIGINT) AS "TOTAL", o_orderpriority AS "PRIO" FROM {orders}),
 l AS (SELECT CAST(l_orderkey AS VARCHAR) AS lok, CAST(l_linenumber AS VARCHAR) AS ln, CAST(l_partkey AS VARCHAR) AS pk, CAST(l_suppkey AS VARCHAR) AS sk,
-      CAST(l_quantity AS INTEGER) AS "QTY", CAST(round(l_extendedprice * 100) AS BIGINT) AS "PRICE", l_returnflag AS "FLAG" FROM lineitem WHERE l_quantity > {least})
+      CAST(l_quantity AS INTEGER) AS "QTY", CAST(round(l_extendedprice * 100) AS BIGINT) AS "PRICE", l_returnflag AS "FLAG" FROM lineitem)
 """
+_DRAFTS = "(SELECT * FROM orders UNION ALL SELECT * REPLACE ('D' AS o_orderstatus) FROM orders)"
 _PART = "st, ok, ln, pk, sk"
 
 
-def _sql(select: str, where: str, join: str = "JOIN", least: int = 0) -> str:
-    return _BASE.format(least=least) + f"SELECT {select} FROM o {join} l ON ok = lok WHERE {where}"
+def _sql(select: str, where: str, drafts: bool = False) -> str:
+    """Line items joined to orders; drafts, which have none, are kept too if they are asked for."""
+    join = "LEFT JOIN l ON ok = lok AND st <> 'D'" if drafts else "JOIN l ON ok = lok"
+    return _BASE.format(orders=_DRAFTS if drafts else "orders") + f"SELECT {select} FROM o {join} WHERE {where}"
 
 
 _SQL_EVENTS = """SELECT CAST(user_id AS VARCHAR) AS uid, event_type AS qualifier, epoch_us(ts) AS ts, CAST(event_id AS VARCHAR) AS value FROM ({}) t"""
@@ -155,7 +160,7 @@ def column_pruned(spark: SparkSession, d: str) -> DataFrame:
 
 def defaults(spark: SparkSession, d: str) -> DataFrame:
     target = parse_files('dim=st:string:,ok:string:,TOTAL:long:,FLAG:string:"none";')[0]
-    rows = engine.run(order_cells(spark, d, 45), ORDERS, 'select D.TOTAL from orders where D.FLAG<X> = "null" or D.FLAG<X> = "R"')
+    rows = engine.run(order_cells(spark, d, True), ORDERS, 'select D.TOTAL from orders where D.FLAG<X> = "null" or D.FLAG<X> = "R"')
     return project.to_target(rows, target)
 
 
@@ -226,7 +231,7 @@ _LINES = f'{_PART}, "QTY"'
 
 QUERIES = {
     "unpivot_dynamic": _orders('select D.QTY<X>,D.PRICE<X> from orders where st = "F" and D.FLAG<X> = "R"'),
-    "unpivot_outer_static_only": _orders('select D.TOTAL from orders where D.FLAG<X> = "null"', 45),
+    "unpivot_outer_static_only": _orders('select D.TOTAL from orders where D.FLAG<X> = "null"', True),
     "static_select_where_dynamic": _orders('select D.TOTAL from orders where D.FLAG<X> = "R"'),
     "static_select": lambda s, d: engine.run(scans.prune_columns(order_cells(s, d), engine.plan_of(ORDERS, "select D.TOTAL,D.PRIO from orders")), ORDERS, "select D.TOTAL,D.PRIO from orders").drop("ln", "pk", "sk"),
     "latest_version": lambda s, d: _plain_events(scans.latest(event_cells(s, d))),
@@ -240,12 +245,12 @@ QUERIES = {
     "regex_filter": _orders('select D.QTY<X> from orders where D.PRIO REGEXP "[12]-.*" and pk REGEXP "1[0-9]*"'),
     "not_regex_filter": _orders('select D.QTY<X> from orders where D.PRIO NOT REGEXP "[1-4]-.*" and st != "F"'),
     "relational_ops": _orders(_REL),
-    "null_checks": _orders('select D.TOTAL from orders where D.PRIO != "null" and D.QTY<X> = "null"', 40),
+    "null_checks": _orders('select D.TOTAL from orders where D.PRIO != "null" and D.QTY<X> = "null"', True),
     "bool_tree": _orders('select D.QTY<X> from orders where st = "F" and D.FLAG<X> = "R" or D.QTY<X> > "49"'),
     "bracket_tree": _orders('select D.QTY<X> from orders where (st = "F" and D.FLAG<X> = "R") or (D.QTY<X> > "49" and D.PRIO = "5-LOW")'),
     "dynamic_part_filter": _orders('select D.QTY<X> from orders where ln = "1" and sk REGEXP "[0-9]"'),
     "star_family": _orders('select D.* from orders where st = "P" and ln = "2"'),
-    "regex_projection": _orders('select D.PRIO,TOT* from orders where D.FLAG<X> = "null"', 48),
+    "regex_projection": _orders('select D.PRIO,TOT* from orders where D.FLAG<X> = "null"', True),
     "dynamic_match": dynamic_match,
     "json_flatten_object": _json(["head#prio"]),
     "json_explode_objects": _json(["items#ln", "items#pk"]),
@@ -270,26 +275,26 @@ _LJ = "LEFT JOIN lineitem ON l_orderkey = o_orderkey"
 
 ORACLE_SQL = {
     "unpivot_dynamic": _sql(f'{_PART}, "QTY", "PRICE", "FLAG"', "st = 'F' AND \"FLAG\" = 'R'"),
-    "unpivot_outer_static_only": _sql(f'{_PART}, "TOTAL", "FLAG"', "lok IS NULL", "LEFT JOIN", 45),
+    "unpivot_outer_static_only": _sql(f'{_PART}, "TOTAL", "FLAG"', "lok IS NULL", True),
     "static_select_where_dynamic": _sql(f'{_PART}, "TOTAL", "FLAG"', "\"FLAG\" = 'R'"),
-    "static_select": _BASE.format(least=0) + 'SELECT st, ok, "TOTAL", "PRIO" FROM o',
+    "static_select": _BASE.format(orders="orders") + 'SELECT st, ok, "TOTAL", "PRIO" FROM o',
     "latest_version": _newest(),
     "live_cells": _LIVE_SQL,
     "time_range_partial": _newest(f"ts >= TIMESTAMP '{LOW}' AND ts < TIMESTAMP '{HIGH}'"),
     "partial_with_deletes": _LIVE_SQL.replace("WITH m AS", f"WITH ev AS (SELECT * FROM events WHERE ts >= TIMESTAMP '{LOW}' AND ts < TIMESTAMP '{HIGH}'), m AS").replace("FROM events", "FROM ev").replace("ev AS (SELECT * FROM ev", "ev AS (SELECT * FROM events"),
-    "rowkey_prefix": _BASE.format(least=0) + "SELECT st, ok FROM o WHERE st || '|' || ok LIKE 'F|1%'",
+    "rowkey_prefix": _BASE.format(orders="orders") + "SELECT st, ok FROM o WHERE st || '|' || ok LIKE 'F|1%'",
     "rowkey_point": _sql(_LINES, "st = 'O' AND ok = '7'"),
-    "key_only_scan": _BASE.format(least=0) + "SELECT st, ok FROM o",
+    "key_only_scan": _BASE.format(orders="orders") + "SELECT st, ok FROM o",
     "column_pruned_scan": "SELECT 'QTY' AS kind, count(*) AS n FROM lineitem UNION ALL SELECT 'PRIO', count(*) FROM orders",
     "regex_filter": _sql(f'{_LINES}, "PRIO"', "regexp_full_match(\"PRIO\", '[12]-.*') AND regexp_full_match(pk, '1[0-9]*')"),
     "not_regex_filter": _sql(f'{_LINES}, "PRIO"', "NOT regexp_full_match(\"PRIO\", '[1-4]-.*') AND st <> 'F'"),
     "relational_ops": _sql(f'{_PART}, "QTY", "PRICE", "TOTAL", "FLAG"', '"QTY" >= 10 AND "QTY" < 20 AND "PRICE" > 1500000 AND "TOTAL" <= 30000000 AND "FLAG" <> \'N\''),
-    "null_checks": _sql(f'{_PART}, "TOTAL", "PRIO", "QTY"', "lok IS NULL", "LEFT JOIN", 40),
+    "null_checks": _sql(f'{_PART}, "TOTAL", "PRIO", "QTY"', "lok IS NULL", True),
     "bool_tree": _sql(f'{_LINES}, "FLAG"', "st = 'F' AND (\"FLAG\" = 'R' OR \"QTY\" > 49)"),
     "bracket_tree": _sql(f'{_LINES}, "FLAG", "PRIO"', "(st = 'F' AND \"FLAG\" = 'R') OR (\"QTY\" > 49 AND \"PRIO\" = '5-LOW')"),
     "dynamic_part_filter": _sql(_LINES, "ln = '1' AND length(sk) = 1"),
     "star_family": _sql(f'{_PART}, "TOTAL", "PRIO", "QTY", "PRICE", "FLAG"', "st = 'P' AND ln = '2'"),
-    "regex_projection": _sql(f'{_PART}, "TOTAL", "PRIO", "FLAG"', "lok IS NULL", "LEFT JOIN", 48),
+    "regex_projection": _sql(f'{_PART}, "TOTAL", "PRIO", "FLAG"', "lok IS NULL", True),
     "dynamic_match": "SELECT 'PRI' AS label, count(*) AS n FROM (SELECT 1 FROM orders UNION ALL SELECT 1 FROM lineitem)"
     " UNION ALL SELECT 'END', 2 * count(*) FROM lineitem WHERE CAST(l_suppkey AS VARCHAR) LIKE '1%'"
     " UNION ALL SELECT NULL, (SELECT count(*) FROM orders) + (SELECT 2 * count(*) FROM lineitem WHERE CAST(l_suppkey AS VARCHAR) NOT LIKE '1%')",
@@ -299,15 +304,15 @@ ORACLE_SQL = {
     "json_cross_product": _OJ.format("o_orderpriority AS head_prio, CAST(l_linenumber AS VARCHAR) AS items_ln, l_returnflag AS items_flag, t AS tags", _LJ, ", unnest([o_orderstatus, o_orderpriority]) AS u(t)"),
     "json_top_array": _OJ.format("CAST(l_linenumber AS VARCHAR) AS ln, l_returnflag AS flag", _LJ, ""),
     "json_where": _OJ.format("CAST(l_linenumber AS VARCHAR) AS ln, l_returnflag AS flag", "JOIN lineitem ON l_orderkey = o_orderkey", "WHERE l_returnflag = 'R' AND l_linenumber < 3"),
-    "defaults_projection": _sql('st, ok, "TOTAL", coalesce("FLAG", \'none\') AS "FLAG"', "lok IS NULL OR \"FLAG\" = 'R'", "LEFT JOIN", 45),
+    "defaults_projection": _sql('st, ok, "TOTAL", coalesce("FLAG", \'none\') AS "FLAG"', "lok IS NULL OR \"FLAG\" = 'R'", True),
     "recon_sum_count": "SELECT count(*) AS rows, CAST(sum(CAST(l_quantity AS INTEGER)) AS DECIMAL(38,0)) AS \"sum_QTY\", count(l_quantity) AS \"count_QTY\", count(l_returnflag) AS \"count_FLAG\" FROM lineitem",
     "delete_anti_join_all": _sql(_LINES, "NOT EXISTS (SELECT 1 FROM o AS x WHERE x.ok = o.ok AND x.\"PRIO\" = '1-URGENT')"),
     "delete_anti_join_single": _sql(_LINES, "\"FLAG\" <> 'R'"),
     "incremental_upsert": _LIVE_SQL,
     "bookmark_high_water": "SELECT coalesce(max(epoch_us(ts)), 0) AS ts FROM events WHERE event_type = 'click' AND floor(value) >= 0",
-    "tall_rekey": _BASE.format(least=0)
+    "tall_rekey": _BASE.format(orders="orders")
     + ", r AS (SELECT 'L#' || ok || '#' || ln || '-' || pk || '-' || sk AS row_key, CAST(\"QTY\" AS VARCHAR) AS q FROM o JOIN l ON ok = lok)"
     + " SELECT row_key, 'F' AS family, 'QTY' AS qualifier, CAST(7 AS BIGINT) AS ts, q AS value FROM r UNION ALL SELECT row_key, 'F', 'NOTE', CAST(7 AS BIGINT), 'none' FROM r",
-    "delimited_record": _BASE.format(least=0) + 'SELECT concat_ws(chr(1), st, ok, ln, CAST("QTY" AS VARCHAR)) AS record FROM o JOIN l ON ok = lok',
+    "delimited_record": _BASE.format(orders="orders") + 'SELECT concat_ws(chr(1), st, ok, ln, CAST("QTY" AS VARCHAR)) AS record FROM o JOIN l ON ok = lok',
     "date_reformat": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso FROM orders",
 }
