@@ -137,20 +137,39 @@ def test_quality_rules(spark, docs, real):
     assert {r.score for r in quality_rules.judge(docs, trusted.limit(0)).collect()} == {0.0}
 
 
-def test_quality_ratio(spark, real):
-    trusted = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").collect()}
-    from tallspan.llm.common import word_hash
-
-    raw, good, text = np.zeros(1 << 12), np.zeros(1 << 12), {r.doc_id: r.text for r in real.collect()}
-    grams = {i: quality_rules.grams(np.array([word_hash(w) for w in t.encode().split()], np.uint64), 1 << 12) for i, t in text.items()}
-    for i, g in grams.items():
-        np.add.at(raw, g, 1)
+def plain_ratios(rows, trusted):
+    """Scores of (id, text) rows, from counts of the n-grams themselves."""
+    from collections import Counter
+
+    split = [(t or "").encode().split() for _, t in rows]
+    found = [Counter([*w, *zip(w, w[1:], strict=False)]) for w in split]
+    raw, good = Counter(), Counter()
+    for (i, _), f in zip(rows, found, strict=True):
+        raw.update(f)
         if i in trusted:
-            np.add.at(good, g, 1)
-    share = [(x + 0.5 * x.sum() / len(x)) / (1.5 * x.sum()) for x in (good, raw)]
-    ratio = np.log(share[0] / share[1])
-    out = quality_rules.judge(real, spark.createDataFrame([(i,) for i in trusted], "doc_id long"), buckets=1 << 12).collect()
-    assert all(abs(r.score - ratio[grams[r.doc_id]].mean()) < 1e-5 for r in out)
+            good.update(f)
+    share, a, out = sum(good.values()) / max(sum(raw.values()), 1), quality_rules.SMOOTHING, []
+    for (i, _), f in zip(rows, found, strict=True):
+        own = i in trusted
+        logs = [n * np.log((good[g] - n * own + a * share) / (share * (raw[g] - n + a))) for g, n in f.items()] if share else []
+        out.append(sum(logs) / max(sum(f.values()), 1))
+    return out
+
+
+def test_quality_ratio(spark, real):
+    trusted = spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").select("doc_id")
+    again = real.select("doc_id", "text").union(spark.createDataFrame([(None, "a b a b c")] * 40 + [(7, None), (8, " ")], "doc_id long, text string"))
+    rows = [(r.doc_id, r.text) for r in again.collect()]
+    want = sorted(zip([-1 if i is None else i for i, _ in rows], plain_ratios(rows, {r.doc_id for r in trusted.collect()}), strict=True))
+    for block in (quality_rules.BLOCK_BYTES, 30_000):
+        got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in quality_rules.judge(again, trusted, block_bytes=block).collect())
+        assert [i for i, _ in got] == [i for i, _ in want] and all(abs(g - w) < 1e-9 for (_, g), (_, w) in zip(got, want, strict=True))
+
+
+def test_packed():
+    for x in ([], [0], [1, 2, 3], [2**56 - 1, 0, 255, 256]):
+        x = np.array(x, np.uint64)
+        assert (quality_rules.unpacked(quality_rules.packed(x)) == x).all()
 
 
 def plain_spans(text):
