@@ -1,11 +1,11 @@
 """Word statistics with fixed rules, and a hashed n-gram likelihood ratio with a fixed threshold.
 
-Two multinomials over word unigrams and bigrams, each known by 56 bits of hash, are counted: one over all documents,
+Two multinomials over word unigrams and bigrams, each known by a hash whose bits grow with the corpus, are counted: one over all documents,
 one over the trusted ones. A document's score is the mean, over its n-grams, of the log of their ratio, both counted
 in the other documents only, so neither length nor its own words matter; a document is kept if no base rule rejects
 it and its score reaches the threshold. Every document is scored whole.
 
-The counts grow with the corpus and are nowhere whole. Documents are dealt into blocks; a block sends each range of
+The counts grow with the corpus and are nowhere whole. Documents are packed into blocks; a block sends each range of
 hashes its distinct n-grams with their counts, packed, and the range answers with the sums over all blocks. An n-gram
 that is everywhere comes once from each block, so ranges are even however often a word occurs.
 
@@ -20,15 +20,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCodes, arrow_schema, flagged, mix, prepare, read, texts
+from .common import BROADCAST_ROWS, WordCodes, arrow_schema, flagged, mix, prepare, read, texts, with_checkpoints
 
-#: Bytes of text of a block, on average; there are as many ranges of hashes as blocks.
-BLOCK_BYTES = 8 << 20
-#: Bits of a hash that name an n-gram.
-BITS = 56
+#: Bytes of text after which a block ends; there are as many ranges of hashes as this goes into all texts.
+BLOCK_BYTES = 24 << 20
+#: Bits of a hash beyond those that number all n-grams, so that fewer than one in 1,000 shares its hash; and the least bits.
+SPARE_BITS, LEAST_BITS = 10, 40
 #: Occurrences in all documents, and their trusted share, that are added to the counts of each n-gram.
 SMOOTHING = 5.0
 #: Mean log ratio below which a document goes. Trusted documents of sf0.01 and sf0.1 score at least -0.34 and -0.18 by the
@@ -78,25 +79,24 @@ def base_statistics(text: str, codes: np.ndarray) -> tuple[int, int, int, int]:
     return len(text) - blanks, sum(map(len, _SYMBOLS.findall(text))), dup, repeated_words(codes)
 
 
-def grams(h: np.ndarray) -> np.ndarray:
-    """The unigrams and bigrams of word hashes h, in BITS bits."""
+def grams(h: np.ndarray, bits: int) -> np.ndarray:
+    """The unigrams and bigrams of word hashes h, in so many bits."""
     both = np.concatenate([mix(h), mix(h[:-1] * np.uint64(3) ^ h[1:] * np.uint64(0x9E3779B97F4A7C15))]) if len(h) else h
-    return both >> np.uint64(64 - BITS)
+    return both >> np.uint64(64 - bits)
 
 
-def packed(x: np.ndarray) -> bytes:
-    """Numbers as planes of bytes: the upper ones of small numbers are zeros, which compress away."""
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def zstd() -> pa.Codec:
+    return pa.Codec("zstd", 3)
 
 
-def unpacked(b: bytes) -> np.ndarray:
-    return np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
+def packed(x: np.ndarray) -> bytes:
+    """Numbers as planes of bytes, compressed: the upper planes of small numbers are zeros."""
+    return len(x).to_bytes(8, "little") + zstd().compress(x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), asbytes=True)
 
 
-def summed(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Distinct keys in order, where each key is among them, and the sums of counts for each."""
-    distinct, at = np.unique(keys, return_inverse=True)
-    return distinct, at, [np.bincount(at, c, len(distinct)).astype(np.uint64) for c in counts]
+def unpacked(b: bytes) -> np.ndarray:
+    n = int.from_bytes(b[:8], "little")
+    return np.frombuffer(zstd().decompress(b[8:], 8 * n, asbytes=True), np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
 
 
 def totals(docs: DataFrame) -> tuple[int, int, int]:
@@ -116,24 +116,45 @@ def totals(docs: DataFrame) -> tuple[int, int, int]:
     return tuple(v or 0 for v in sums)
 
 
-_COUNTS = pa.schema([("block", pa.int32()), ("range", pa.int32()), ("grams", pa.binary()), ("n_raw", pa.binary()), ("n_trusted", pa.binary())])
-_COUNTS_DDL = "block int, range int, grams binary, n_raw binary, n_trusted binary"
+def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """Arrow batches of docs as one compressed value each, with the block they belong to: a stretch of one task's rows."""
+    target = pa.schema([("block", pa.int64()), ("rows", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, first = 0, TaskContext.get().partitionId() << 32
+        for b in batches:
+            if b.num_rows:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression=zstd())) as out:
+                    out.write_batch(b)
+                yield pa.RecordBatch.from_pydict({"block": [first + size // block_bytes], "rows": [sink.getvalue().to_pybytes()]}, schema=target)
+                size += b.nbytes
 
+    return docs.mapInArrow(run, "block long, rows binary")
 
-def block_counts(blocks: DataFrame, ranges: int) -> DataFrame:
+
+def documents_of(t: pa.Table) -> pa.Table:
+    """The documents of a block, always in the same order."""
+    return pa.concat_tables(pa.ipc.open_stream(rows).read_all() for rows in sorted(t.column("rows").to_pylist()))
+
+
+_COUNTS = pa.schema([("block", pa.int64()), ("range", pa.int32()), ("grams", pa.binary()), ("n_raw", pa.binary()), ("n_trusted", pa.binary())])
+_COUNTS_DDL = "block long, range int, grams binary, n_raw binary, n_trusted binary"
+
+
+def block_counts(blocks: DataFrame, ranges: int, bits: int) -> DataFrame:
     """A row for each block and range: the block's distinct n-grams there, as steps from one to the next, and their counts."""
-    borders = np.array([-(-r * (1 << BITS) // ranges) for r in range(ranges + 1)], np.uint64)
+    borders = np.array([-(-r * (1 << bits) // ranges) for r in range(ranges + 1)], np.uint64)
 
     def count(t: pa.Table) -> pa.Table:
-        codes, found = WordCodes(), []
-        flags = t.column("trusted").to_pylist()
-        for text in t.column("text").to_pylist():
-            found.append(grams(codes.hashes_of(text.encode().split())))
-        every = np.repeat(np.array(flags, np.float64), [len(g) for g in found])
-        keys, at, (good,) = summed(np.concatenate(found).astype(np.uint64), every)
-        raw = np.bincount(at, minlength=len(keys)).astype(np.uint64)
-        cut, out = np.searchsorted(keys, borders), []
-        block = t.column("block")[0].as_py()
+        codes, found, docs = WordCodes(), ([], []), documents_of(t)
+        for text, trusted in zip(docs.column("text").to_pylist(), docs.column("trusted").to_pylist(), strict=True):
+            found[trusted].append(grams(codes.hashes_of(text.encode().split()), bits))
+        good_keys, n_good = np.unique(np.concatenate([np.zeros(0, np.uint64), *found[True]]), return_counts=True)
+        keys, raw = np.unique(np.concatenate([np.zeros(0, np.uint64), *found[False], *found[True]]), return_counts=True)
+        good = np.zeros(len(keys), np.uint64)
+        good[np.searchsorted(keys, good_keys)] = n_good
+        cut, out, block = np.searchsorted(keys, borders), [], t.column("block")[0].as_py()
         for r in range(ranges):
             a, b = cut[r], cut[r + 1]
             if a < b:
@@ -149,10 +170,11 @@ def answers(counts: DataFrame) -> DataFrame:
     def add(t: pa.Table) -> pa.Table:
         c = {n: t.column(n).to_pylist() for n in _COUNTS.names}
         keys = [np.cumsum(unpacked(g), dtype=np.uint64) for g in c["grams"]]
-        _, at, sums = summed(np.concatenate(keys), *(np.concatenate([unpacked(x) for x in c[n]]) for n in ("n_raw", "n_trusted")))
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
         cut = np.cumsum([len(k) for k in keys])[:-1]
-        for n, all_ in zip(("n_raw", "n_trusted"), sums, strict=True):
-            c[n] = [packed(all_[part]) for part in np.split(at, cut)]
+        for n in ("n_raw", "n_trusted"):
+            sums = np.bincount(at, np.concatenate([unpacked(x) for x in c[n]]), len(distinct)).astype(np.uint64)
+            c[n] = [packed(sums[part]) for part in np.split(at, cut)]
         return pa.Table.from_pydict(c | {"grams": [b""] * len(keys)}, schema=_COUNTS)
 
     return counts.groupBy("range").applyInArrow(add, _COUNTS_DDL)
@@ -161,11 +183,12 @@ def answers(counts: DataFrame) -> DataFrame:
 def scores(found: list[np.ndarray], trusted: np.ndarray, raw: np.ndarray, good: np.ndarray, share: float) -> np.ndarray:
     """Mean log ratios of documents with the n-grams found; raw and good: counts in all documents of the distinct ones, in order."""
     each = [np.unique(g, return_counts=True) for g in found]
-    of = np.repeat(np.arange(len(found)), [len(k) for k, _ in each])
+    of = np.repeat(np.arange(len(found), dtype=np.int32), [len(k) for k, _ in each])
     keys, n = np.concatenate([k for k, _ in each]).astype(np.uint64), np.concatenate([c for _, c in each]).astype(np.float64)
-    distinct, at = np.unique(keys, return_inverse=True)
+    distinct = np.unique(keys)
     if len(distinct) != len(raw):
         raise ValueError("a block's n-grams changed between two readings of its documents")
+    at = np.searchsorted(distinct, keys)
     if not share:
         return np.zeros(len(found))
     others = raw[at].astype(np.float64) - n, good[at].astype(np.float64) - n * trusted[of]
@@ -181,15 +204,19 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, blo
     prepare(docs.sparkSession)
     docs = flagged(texts(docs, id_col, text_col), trusted, "trusted")
     size, n_raw, n_trusted = totals(docs)
-    n, share, target = -(-size // block_bytes) or 1, n_trusted / max(n_raw, 1), arrow_schema(_JUDGED)
-    # The partition's number keeps rows of one id and text from meeting in one block.
-    blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(n)).cast("int"))
+    share, target = n_trusted / max(n_raw, 1), arrow_schema(_JUDGED)
+    bits = min(64, max(LEAST_BITS, n_raw.bit_length() + SPARE_BITS))
+    blocks = in_blocks(docs, block_bytes)
+    if trusted.count() > BROADCAST_ROWS:  # flagged() has shuffled, and blocks must be the same at both readings
+        with_checkpoints(docs.sparkSession)
+        blocks = blocks.checkpoint()
 
     def of_block(t: pa.Table, sums: pa.Table) -> pa.Table:
+        t = documents_of(t)
         codes, found, rows = WordCodes(), [], []
         for text in t.column("text").to_pylist():
             of = codes.of(text.encode().split())
-            found.append(grams(codes.hashes[of]))
+            found.append(grams(codes.hashes[of], bits))
             rows.append((len(of), *base_statistics(text, of)))
         order = np.argsort(sums.column("range").to_numpy())
         raw, good = (np.concatenate([np.zeros(0, np.uint64), *(unpacked(sums.column(c)[int(i)].as_py()) for i in order)]) for c in ("n_raw", "n_trusted"))
@@ -199,7 +226,7 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, blo
         out["kept"] = [not f and s >= threshold for f, s in zip(out["base_failed"], out["score"], strict=True)]
         return pa.Table.from_pydict({"doc_id": t.column("doc_id").to_pylist()} | out, schema=target)
 
-    sums = answers(block_counts(blocks, n))
+    sums = answers(block_counts(blocks, -(-size // block_bytes) or 1, bits))
     return blocks.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(of_block, _JUDGED)
 
 
