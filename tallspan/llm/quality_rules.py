@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_ROWS, WordCodes, arrow_schema, flagged, mix, prepare, read, texts, with_checkpoints
 
 #: Bytes of text after which a block ends; there are as many ranges of hashes as this goes into all texts.
-BLOCK_BYTES = 24 << 20
-#: Bits of a hash beyond those that number all n-grams, so that fewer than one in 1,000 shares its hash; and the least bits.
-SPARE_BITS, LEAST_BITS = 10, 40
+BLOCK_BYTES = 32 << 20
+#: Bits of a hash beyond those that number all n-grams, so that fewer than one in 256 shares its hash; and the least bits.
+SPARE_BITS, LEAST_BITS = 8, 36
 #: Occurrences in all documents, and their trusted share, that are added to the counts of each n-gram.
 SMOOTHING = 5.0
 #: Mean log ratio below which a document goes. Trusted documents of sf0.01 and sf0.1 score at least -0.34 and -0.18 by the
@@ -142,6 +142,14 @@ _COUNTS = pa.schema([("block", pa.int64()), ("range", pa.int32()), ("grams", pa.
 _COUNTS_DDL = "block long, range int, grams binary, n_raw binary, n_trusted binary"
 
 
+def counted(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order, and how often each occurs."""
+    every = np.concatenate([np.zeros(0, np.uint64), *found])
+    every.sort()
+    first = np.flatnonzero(np.diff(every, prepend=every[:1] + np.uint64(1)))
+    return every[first], np.diff(first, append=len(every))
+
+
 def block_counts(blocks: DataFrame, ranges: int, bits: int) -> DataFrame:
     """A row for each block and range: the block's distinct n-grams there, as steps from one to the next, and their counts."""
     borders = np.array([-(-r * (1 << bits) // ranges) for r in range(ranges + 1)], np.uint64)
@@ -150,8 +158,8 @@ def block_counts(blocks: DataFrame, ranges: int, bits: int) -> DataFrame:
         codes, found, docs = WordCodes(), ([], []), documents_of(t)
         for text, trusted in zip(docs.column("text").to_pylist(), docs.column("trusted").to_pylist(), strict=True):
             found[trusted].append(grams(codes.hashes_of(text.encode().split()), bits))
-        good_keys, n_good = np.unique(np.concatenate([np.zeros(0, np.uint64), *found[True]]), return_counts=True)
-        keys, raw = np.unique(np.concatenate([np.zeros(0, np.uint64), *found[False], *found[True]]), return_counts=True)
+        good_keys, n_good = counted(found[True])
+        keys, raw = counted(found[False] + found[True])
         good = np.zeros(len(keys), np.uint64)
         good[np.searchsorted(keys, good_keys)] = n_good
         cut, out, block = np.searchsorted(keys, borders), [], t.column("block")[0].as_py()
@@ -180,20 +188,13 @@ def answers(counts: DataFrame) -> DataFrame:
     return counts.groupBy("range").applyInArrow(add, _COUNTS_DDL)
 
 
-def scores(found: list[np.ndarray], trusted: np.ndarray, raw: np.ndarray, good: np.ndarray, share: float) -> np.ndarray:
-    """Mean log ratios of documents with the n-grams found; raw and good: counts in all documents of the distinct ones, in order."""
-    each = [np.unique(g, return_counts=True) for g in found]
-    of = np.repeat(np.arange(len(found), dtype=np.int32), [len(k) for k, _ in each])
-    keys, n = np.concatenate([k for k, _ in each]).astype(np.uint64), np.concatenate([c for _, c in each]).astype(np.float64)
-    distinct = np.unique(keys)
-    if len(distinct) != len(raw):
-        raise ValueError("a block's n-grams changed between two readings of its documents")
-    at = np.searchsorted(distinct, keys)
-    if not share:
-        return np.zeros(len(found))
-    others = raw[at].astype(np.float64) - n, good[at].astype(np.float64) - n * trusted[of]
-    ratio = np.log((others[1] + SMOOTHING * share) / (share * (others[0] + SMOOTHING)))
-    return np.bincount(of, ratio * n, len(found)) / np.maximum(np.bincount(of, n, len(found)), 1)
+def score(at: np.ndarray, n: np.ndarray, trusted: bool, raw: np.ndarray, good: np.ndarray, share: float) -> float:
+    """Mean log ratio of a document whose distinct n-grams, at these places of the counts raw and good, occur n times in it."""
+    if not share or not len(at):
+        return 0.0
+    others = raw[at].astype(np.float64) - n
+    ratio = np.log((good[at].astype(np.float64) - n * trusted + SMOOTHING * share) / (share * (others + SMOOTHING)))
+    return float(ratio @ n / n.sum())
 
 
 _JUDGED = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, score double, kept boolean"
@@ -212,19 +213,23 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, blo
         blocks = blocks.checkpoint()
 
     def of_block(t: pa.Table, sums: pa.Table) -> pa.Table:
-        t = documents_of(t)
-        codes, found, rows = WordCodes(), [], []
-        for text in t.column("text").to_pylist():
-            of = codes.of(text.encode().split())
-            found.append(grams(codes.hashes[of], bits))
-            rows.append((len(of), *base_statistics(text, of)))
+        codes, found, rows, docs = WordCodes(), [], [], documents_of(t)
+        for batch in docs.to_batches():
+            for text in batch.column("text").to_pylist():
+                of = codes.of(text.encode().split())
+                found.append(np.unique(grams(codes.hashes[of], bits), return_counts=True))
+                rows.append((len(of), *base_statistics(text, of)))
+        keys = counted([k for k, _ in found])[0]
         order = np.argsort(sums.column("range").to_numpy())
         raw, good = (np.concatenate([np.zeros(0, np.uint64), *(unpacked(sums.column(c)[int(i)].as_py()) for i in order)]) for c in ("n_raw", "n_trusted"))
+        if len(keys) != len(raw):
+            raise ValueError("a block's n-grams changed between two readings of its documents")
         out = dict(zip(target.names[1:6], map(list, zip(*rows, strict=True)), strict=True))
         out["base_failed"] = [r[0] < 50 or 100 * r[4] > 50 * r[0] for r in rows]
-        out["score"] = scores(found, np.array(t.column("trusted").to_pylist(), np.float64), raw, good, share).tolist()
+        flags = docs.column("trusted").to_pylist()
+        out["score"] = [score(np.searchsorted(keys, k), n, f, raw, good, share) for (k, n), f in zip(found, flags, strict=True)]
         out["kept"] = [not f and s >= threshold for f, s in zip(out["base_failed"], out["score"], strict=True)]
-        return pa.Table.from_pydict({"doc_id": t.column("doc_id").to_pylist()} | out, schema=target)
+        return pa.Table.from_pydict({"doc_id": docs.column("doc_id").to_pylist()} | out, schema=target)
 
     sums = answers(block_counts(blocks, -(-size // block_bytes) or 1, bits))
     return blocks.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(of_block, _JUDGED)
