@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import tempfile
@@ -56,6 +57,15 @@ def with_checkpoints(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def freed(spark: SparkSession) -> None:
+    """Has the driver collect its garbage: shuffles, broadcasts and checkpoints that no frame refers to any more go now.
+
+    Spark drops them only when the driver happens to collect; until then they take disk, and memory of the driver.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only id and text, whatever else the table holds; a null text is empty."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -154,10 +164,28 @@ def fraction(df: DataFrame, key: str, share: float) -> DataFrame:
     return df if share >= 1 else df.filter(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 20)) < int(share * (1 << 20)))
 
 
-#: Rows of a side of ids up to which it is broadcast (some 16 MB); larger sides are shuffled.
+#: Rows of a side of ids up to which it is broadcast (8 MB as numbers, see among); larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 
 
+def among(numbers: DataFrame) -> Callable[[Column], Column]:
+    """Whether a long is one of numbers (one column, at most BROADCAST_ROWS rows by the caller's count).
+
+    They travel as one sorted array. A table that Spark broadcasts takes over 100 bytes of the driver for each row,
+    several times over while it is made: 100 MB and more for 1,000,000 rows.
+    """
+    known = numbers.sparkSession.sparkContext.broadcast(np.sort(numbers.toArrow().column(0).to_numpy()))
+
+    @F.arrow_udf("boolean")
+    def test(x: pa.Array) -> pa.Array:
+        ids = x.to_numpy(zero_copy_only=False)
+        if not len(known.value):
+            return pa.array(np.zeros(len(ids), bool))
+        return pa.array(known.value[np.minimum(np.searchsorted(known.value, ids), len(known.value) - 1)] == ids)
+
+    return test
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """16 bytes that name a row by its id and text; repeated rows have the same."""
     return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("|"), F.coalesce(F.col(text_col), F.lit(""))).cast("binary")))

@@ -1,12 +1,24 @@
-"""Connected components of a distributed edge list, by least labels and pointer jumping."""
+"""Connected components of a distributed edge list, by least labels and pointer jumping.
+
+Up to MOST_EDGES edges are worked over by one task; more of them in rounds of joins, which give the same labels but
+write some files for each partition and round.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Rows that one partition of a small intermediate table holds at least.
 ROWS_EACH = 200_000
+#: Edges that one task may hold (some 100 MB with ids of 16 bytes).
+MOST_EDGES = 500_000
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -15,6 +27,34 @@ def settled(df: DataFrame) -> DataFrame:
     return df.coalesce(df.count() // ROWS_EACH + 8)
 
 
+def least_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, component of all edges (a, b) of the batches: roots are hung on lesser ones until no edge joins two of them."""
+    sides = [[], []]
+    for batch in batches:
+        for side, name in zip(sides, "ab", strict=True):
+            side.append(batch.column(name))
+    n = sum(map(len, sides[0]))
+    if not n:
+        return
+    coded = pa.chunked_array(sides[0] + sides[1]).combine_chunks().dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    of = rank[coded.indices.to_numpy()]
+    nodes, a, b, label = coded.dictionary.take(pa.array(order)), of[:n], of[n:], np.arange(len(order))
+    while True:
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        open_ = low < high
+        if not open_.any():
+            break
+        a, b = a[open_], b[open_]
+        np.minimum.at(label, high[open_], low[open_])
+        while (label != (label := label[label])).any():
+            pass
+    for at in range(0, len(label), 1 << 16):
+        yield pa.RecordBatch.from_arrays([nodes[at : at + (1 << 16)], nodes.take(pa.array(label[at : at + (1 << 16)]))], names=["node", "component"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its least node) of every node of edges (a, b).
 
@@ -22,6 +62,8 @@ def components(edges: DataFrame) -> DataFrame:
     is cut off in the checkpoint folder, and only the number of changes comes to the driver.
     """
     edges = edges.select("a", "b").filter("a <> b")
+    if edges.count() <= MOST_EDGES:
+        return settled(edges.coalesce(1).mapInArrow(least_nodes, StructType([StructField(n, edges.schema["a"].dataType) for n in ("node", "component")])))
     both = settled(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("component")))
     while True:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import links_in_blocks, still_open
-from .common import BROADCAST_ROWS, WordCodes, mix, prepare, read, row_key, shingle_hashes, spread_join, with_checkpoints
+from .common import BROADCAST_ROWS, WordCodes, among, freed, mix, prepare, read, row_key, shingle_hashes, spread_join, with_checkpoints
 from .components import components, joined, settled
 
 SHINGLE, SIMILARITY, LENGTH, SKETCHES = 5, 0.8, 3, 40
@@ -238,10 +238,16 @@ def nodes_of(pairs: DataFrame) -> tuple[DataFrame, bool]:
     return nodes, nodes.count() <= BROADCAST_ROWS
 
 
+def of_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """rows whose node is one of the few nodes, or shares 64 bits of hash with one: the caller joins by the whole node."""
+    return rows.filter(among(nodes.select(F.xxhash64("node")))(F.xxhash64("node")))
+
+
 def plausible(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     """pairs without those whose digests are 4.5 standard deviations below the overlap."""
     nodes, few = nodes_of(pairs)
-    some = sketched.select("node", "n", "digest").join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
+    some = sketched.select("node", "n", "digest")
+    some = settled(of_nodes(some, nodes)) if few else some.join(nodes, "node", "left_semi")
     side = lambda k: some.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("digest").alias(f"digest_{k}"))
     target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -259,7 +265,7 @@ def plausible(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
 def texts_of(nodes: DataFrame, few: bool, docs: DataFrame) -> DataFrame:
     """node, text: of equal texts one is moved, whatever their number."""
     one = lambda rows: rows.groupBy("node").agg(F.first("text").alias("text"))
-    return one(docs.join(F.broadcast(nodes), "node", "left_semi")) if few else one(docs).join(nodes, "node", "left_semi")
+    return one(of_nodes(docs, nodes)) if few else one(docs).join(nodes, "node", "left_semi")
 
 
 def verifier() -> Callable[[str, str], bool]:
@@ -269,7 +275,7 @@ def verifier() -> Callable[[str, str], bool]:
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of pairs (a, b) whose texts align."""
-    text = texts_of(*nodes_of(pairs), docs)
+    text = settled(texts_of(*nodes_of(pairs), docs))
     side = lambda k: text.select(F.col("node").alias(k), F.col("text").alias(f"text_{k}"))
     both = spread_join(spread_join(pairs, side("a"), "a", F.xxhash64("b")), side("b"), "b", F.xxhash64("a"), counted=pairs)
     target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -290,6 +296,7 @@ def linked_groups(docs: DataFrame) -> DataFrame:
     rows = sketched.select(F.explode("buckets").alias("bucket"), "node", "n")
     first = rows.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = rows.join(first, "bucket").checkpoint()  # of buckets of two or more
+    freed(docs.sparkSession)
     apart = (F.col("node") != F.col("lead.node")) & (F.least("n", "lead.n") + 1 >= SIMILARITY * F.greatest("n", "lead.n"))
     couple = (F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
 
@@ -298,14 +305,16 @@ def linked_groups(docs: DataFrame) -> DataFrame:
     groups = settled(components(settled(verified(settled(plausible(pairs, sketched)), docs))))
     # Where buckets still hold several groups: another lead for each bucket, then every pair that is left.
     members = members.drop("lead", "size")
+    freed(docs.sparkSession)
     known = still_open(members, groups)
     lead = known.groupBy("bucket").agg(F.min_by(F.struct("node", "n", "component"), F.xxhash64("node", "bucket")).alias("lead"))
     more = known.join(lead, "bucket").filter(apart & (F.col("component") != F.col("lead.component"))).select(*couple).distinct().join(pairs, ["a", "b"], "left_anti")
     groups = joined(groups, settled(verified(settled(plausible(settled(more), sketched)), docs)))
     open_ = still_open(members, groups)
     nodes = settled(open_.select("node").distinct())
-    text = texts_of(nodes, nodes.count() <= BROADCAST_ROWS, docs).join(sketched.select("node", "digest"), "node")
-    return joined(groups, settled(links_in_blocks(open_, settled(text), allowed, verifier)))
+    text = settled(texts_of(nodes, nodes.count() <= BROADCAST_ROWS, docs).join(sketched.select("node", "digest"), "node"))
+    freed(docs.sparkSession)
+    return joined(groups, settled(links_in_blocks(open_, text, allowed, verifier)))
 
 
 def text_node(text_col: str) -> Column:

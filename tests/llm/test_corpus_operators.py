@@ -1,6 +1,7 @@
 """Operators that compare texts with each other, against brute force, and the pipeline as a whole."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import duckdb
@@ -55,6 +56,69 @@ def test_components(spark):
     assert components(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["long", "binary"])
+def test_few_edges_take_one_task_and_get_the_labels_of_many(spark, monkeypatch, kind):
+    rng = random.Random(12)
+    links = [(-i, -i - 1) for i in range(9)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(30)] + [(900, 900 + i) for i in range(9)]
+    df = spark.createDataFrame(links, "a long, b long").repartition(7)
+    if kind == "binary":
+        df = df.select(*(F.unhex(F.md5(F.col(c).cast("string").cast("binary"))).alias(c) for c in "ab"))
+    once = components(df)
+    assert once.rdd.getNumPartitions() == 1
+    monkeypatch.setattr("tallspan.llm.components.MOST_EDGES", 0)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, components(df).collect()))
+
+
+def shuffles_left(spark):
+    """Shuffles that are known once what no frame refers to has had time to go."""
+    for _ in range(100):
+        if not (n := spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()):
+            break
+        time.sleep(0.1)
+    return n
+
+
+def test_line_dedup_drops_the_packed_keys_before_it_goes_on(spark, monkeypatch):
+    """Their shuffle is the largest; it went only when the driver happened to collect its garbage."""
+    docs, left, plain = spark.createDataFrame([(i, f"a line of some length, the same but for a number {i % 10}") for i in range(40)], "doc_id long, text string"), [], line_dedup.line_texts
+    monkeypatch.setattr(line_dedup, "line_texts", lambda *x: left.append(shuffles_left(spark)) or plain(*x))
+    before = shuffles_left(spark)  # of frames that other tests hold
+    assert sum(r.n_equal + r.n_near for r in line_dedup.dedup_lines(docs).collect()) == 39
+    assert len(left) == 1 and left[0] <= before + 2  # one is of the narrow occurrences at most
+
+
+def broadcasts_of_ids(spark, work):
+    """Tables of over 20 rows that Spark broadcast while work ran."""
+    seen, plain = [], F.broadcast
+
+    def told(df):
+        seen.append(df.count())
+        return plain(df)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(F, "broadcast", told)
+        work()
+    return [n for n in seen if n > 20]
+
+
+def test_near_dedup_sends_ids_as_numbers(spark):
+    """A table of ids that Spark broadcasts takes 100 MB of the driver at its bound, and several are made at once."""
+    rows = [(2 * i + j, " ".join(f"w{i}x{k}" for k in range(24)) + f" end{j}") for i in range(60) for j in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = []
+    assert broadcasts_of_ids(spark, lambda: out.extend(near_dedup.near_duplicates(docs).collect())) == []
+    assert {r.doc_id: r.class_id for r in out} == {2 * i + j: 2 * i for i in range(60) for j in range(2)}
+
+
+def test_among(spark):
+    from tallspan.llm.common import among
+
+    df = spark.createDataFrame([(x,) for x in (-(1 << 63), -5, 0, 7, 8, (1 << 63) - 1)], "x long")
+    kept = lambda numbers: sorted(r.x for r in df.filter(among(spark.createDataFrame([(n,) for n in numbers], "n long"))(F.col("x"))).collect())
+    assert kept([8, -5, 8, 3, (1 << 63) - 1]) == [-5, 8, (1 << 63) - 1]
+    assert kept([]) == []
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
