@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import links_in_blocks, still_open
-from .common import BROADCAST_ROWS, mix, prepare, read, row_key, spread_join, with_checkpoints
+from .common import BROADCAST_ROWS, freed, mix, prepare, read, row_key, spread_join, with_checkpoints
 from .components import components, joined, settled
 
 EDITS, MIN_CHARS = 1, 32
@@ -324,8 +324,10 @@ def crowded_members(docs: DataFrame, crowded: DataFrame, edits: int | None) -> D
     spark, target = docs.sparkSession, pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("lead", pa.int64())])
     wanted = None
     if crowded.count() <= BROADCAST_ROWS:
-        at = crowded.toPandas().sort_values("bucket", key=lambda x: x.to_numpy(np.int64).view(np.uint64))
-        wanted = spark.sparkContext.broadcast((at["bucket"].to_numpy(np.int64).view(np.uint64), at["lead"].to_numpy(np.int64)))
+        at = crowded.toArrow()
+        bucket, lead = at.column("bucket").to_numpy(), at.column("lead").to_numpy()
+        order = np.argsort(bucket.view(np.uint64))
+        wanted = spark.sparkContext.broadcast((bucket.view(np.uint64)[order], lead[order]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, node in line_keys(batches, edits):
@@ -346,7 +348,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, line, text of the wanted lines (node). Their ids are broadcast only if few; else lines are joined to them."""
     spark, target = docs.sparkSession, pa.schema([("node", pa.int64()), ("line", pa.binary()), ("text", pa.string())])
     wanted = settled(wanted.distinct())
-    few = spark.sparkContext.broadcast(np.sort(wanted.toPandas()["node"].to_numpy(np.int64))) if wanted.count() <= BROADCAST_ROWS else None
+    few = spark.sparkContext.broadcast(np.sort(wanted.toArrow().column("node").to_numpy())) if wanted.count() <= BROADCAST_ROWS else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -396,6 +398,7 @@ def near_lines(docs: DataFrame, chars: int, edits: int | None = None) -> DataFra
     crowded = shared.filter("crowded").select("bucket", "lead")
     if not crowded.isEmpty():
         members = settled(members.unionByName(crowded_members(docs, crowded, edits).select("bucket", "node", "lead")))
+    freed(docs.sparkSession)  # the packed keys, which are most of what is shuffled
     lines = settled(line_texts(docs, members.select("node")))
     # The lead has the indexed length, which its key is made from, so all members are near it in length.
     pairs = settled(members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
@@ -421,6 +424,7 @@ def dropped_lines(docs: DataFrame, edits: int | None = None) -> DataFrame:
     lines = found.groupBy("line").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n_rows"))
     groups = near_lines(docs.select("text"), chars, edits)
     lines = settled(lines.join(groups.withColumnRenamed("node", "line"), "line", "left").filter("n_rows > 1 or component is not null"))
+    freed(docs.sparkSession)
     classes = lines.filter("component is not null").groupBy("component").agg(F.min("first").alias("class_first"))
     near = spread_join(lines.filter("component is not null"), classes, "component", F.xxhash64("line")).filter("n_rows > 1 or class_first <> first")
     alone = lines.filter("component is null").select("line", "first", F.col("first").alias("stays"))
