@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import files_of
 from .components import settled
 
 #: Rows of a bucket that one chunk holds, on average, and units of n (words, characters); a block is one chunk against another.
@@ -63,4 +64,5 @@ def links_in_blocks(rows: DataFrame, texts: DataFrame, allowed: Callable, verifi
             if out := list(links_of(list(block), linked)):
                 yield pa.RecordBatch.from_pydict({"a": [a for a, _ in out], "b": [b for _, b in out]}, schema=target)
 
-    return blocks.mapInArrow(run, "a binary, b binary")
+    # Blocks are many and uneven, links few: they are brought together by a shuffle, so that each block keeps its task.
+    return blocks.mapInArrow(run, "a binary, b binary").repartition(files_of(rows.sparkSession))

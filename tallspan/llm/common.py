@@ -57,6 +57,25 @@ def with_checkpoints(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Partitions that one file of a checkpoint may hold, and files for each core that are fine however few the partitions.
+MOST_IN_FILE, FILES_OF_CORE = 16, 2
+
+
+def files_of(spark: SparkSession) -> int:
+    """Files that a checkpoint has at most: enough to keep all cores busy, more with more shuffle partitions."""
+    return max(FILES_OF_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // MOST_IN_FILE, 1)
+
+
+def cut_off(df: DataFrame) -> DataFrame:
+    """df in the checkpoint folder, in files_of files at most.
+
+    Where Hadoop's native library is missing, each file on a local or mounted disk starts two processes (chmod, of the
+    file and of its checksums), and each of these shows all memory of its JVM as its own until it runs. Spark puts small
+    partitions together itself, but not where that is turned off.
+    """
+    return df.coalesce(files_of(df.sparkSession)).checkpoint()
+
+
 def freed(spark: SparkSession) -> None:
     """Has the driver collect its garbage: shuffles, broadcasts and checkpoints that no frame refers to any more go now.
 

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from .common import cut_off
+
 #: Rows that one partition of a small intermediate table holds at least.
 ROWS_EACH = 200_000
 #: Edges that one task may hold (some 100 MB with ids of 16 bytes).
@@ -23,7 +25,7 @@ MOST_EDGES = 500_000
 
 def settled(df: DataFrame) -> DataFrame:
     """df cut off in the checkpoint folder, in no more partitions than its rows call for (and a few)."""
-    df = df.checkpoint()
+    df = cut_off(df)
     return df.coalesce(df.count() // ROWS_EACH + 8)
 
 

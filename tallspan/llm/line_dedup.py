@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import links_in_blocks, still_open
-from .common import BROADCAST_ROWS, freed, mix, prepare, read, row_key, spread_join, with_checkpoints
+from .common import BROADCAST_ROWS, cut_off, files_of, freed, mix, prepare, read, row_key, spread_join, with_checkpoints
 from .components import components, joined, settled
 
 EDITS, MIN_CHARS = 1, 32
@@ -387,7 +387,7 @@ def verified(pairs: DataFrame, lines: DataFrame, edits: int | None) -> DataFrame
             good = [(min(a, b), max(a, b)) for a, b, s, t in zip(*(batch.column(n).to_pylist() for n in ("line_a", "line_b", "text_a", "text_b")), strict=True) if a != b and within(s, t, edits)]
             yield pa.RecordBatch.from_pydict({"a": [a for a, _ in good], "b": [b for _, b in good]}, schema=target)
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(run, "a binary, b binary").repartition(files_of(pairs.sparkSession))  # few links, uneven tasks
 
 
 def near_lines(docs: DataFrame, chars: int, edits: int | None = None) -> DataFrame:
@@ -418,7 +418,7 @@ def near_lines(docs: DataFrame, chars: int, edits: int | None = None) -> DataFra
 
 def dropped_lines(docs: DataFrame, edits: int | None = None) -> DataFrame:
     """key, at, equal of each line that goes: equal where the same line comes earlier, else one near it."""
-    found = occurrences(docs).checkpoint()  # narrow rows, read twice
+    found = cut_off(occurrences(docs))  # narrow rows, read twice
     where = F.struct("doc_id", "key", "at")
     chars = found.agg(F.sum(F.when(F.col("n") >= MIN_CHARS, F.col("n")))).first()[0] or 0
     lines = found.groupBy("line").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n_rows"))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import links_in_blocks, still_open
-from .common import BROADCAST_ROWS, WordCodes, among, freed, mix, prepare, read, row_key, shingle_hashes, spread_join, with_checkpoints
+from .common import BROADCAST_ROWS, WordCodes, among, cut_off, files_of, freed, mix, prepare, read, row_key, shingle_hashes, spread_join, with_checkpoints
 from .components import components, joined, settled
 
 SHINGLE, SIMILARITY, LENGTH, SKETCHES = 5, 0.8, 3, 40
@@ -287,15 +287,15 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             good = [(a, b) for a, b, s, t in zip(*c.values(), strict=True) if linked(s, t)]
             yield pa.RecordBatch.from_pydict({"a": [a for a, _ in good], "b": [b for _, b in good]}, schema=target)
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(run, "a binary, b binary").repartition(files_of(pairs.sparkSession))  # few links, uneven tasks
 
 
 def linked_groups(docs: DataFrame) -> DataFrame:
     """node, component of the texts (node, text) that are linked with another."""
-    sketched = sketches(docs).checkpoint()
+    sketched = cut_off(sketches(docs))
     rows = sketched.select(F.explode("buckets").alias("bucket"), "node", "n")
     first = rows.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = rows.join(first, "bucket").checkpoint()  # of buckets of two or more
+    members = cut_off(rows.join(first, "bucket"))  # of buckets of two or more
     freed(docs.sparkSession)
     apart = (F.col("node") != F.col("lead.node")) & (F.least("n", "lead.n") + 1 >= SIMILARITY * F.greatest("n", "lead.n"))
     couple = (F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
@@ -326,9 +326,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prepare(with_checkpoints(docs.sparkSession))
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), text_node(text_col).alias("node"))
     groups = linked_groups(docs.select("node", "text"))
-    rows = docs.select("doc_id", "node").checkpoint()
+    rows = cut_off(docs.select("doc_id", "node"))
     of_text = rows.groupBy("node").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_rows"))
-    of_text = of_text.join(groups, "node", "left").checkpoint()
+    of_text = cut_off(of_text.join(groups, "node", "left"))
     linked = of_text.filter("component is not null").select("node", "component")
     classes = of_text.filter("component is not null").groupBy("component").agg(F.min("class_id").alias("class_id"), F.sum("n_rows").alias("n_rows"))
     named = of_text.filter("component is null").select("node", "class_id", "n_rows").unionByName(spread_join(linked, classes, "component", F.xxhash64("node")).select("node", "class_id", "n_rows"))
@@ -342,7 +342,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = linked_groups(docs.select(text_node(text_col).alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
     rows = named.select("__row", F.col(id_col).alias("doc_id"), text_node(text_col).alias("node"))
     rows = rows.groupBy("__row").agg(F.first("doc_id").alias("doc_id"), F.first("node").alias("node"), F.count(F.lit(1)).alias("n_rows"))
-    rows = rows.join(groups, "node", "left").checkpoint()
+    rows = cut_off(rows.join(groups, "node", "left"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
     stay = settled(rows.groupBy(F.coalesce("component", "node").alias("class")).agg(F.min_by(F.struct("__row", "n_rows"), order).alias("stay")).select("stay.*"))
     counts = stay.select("__row", "n_rows")

@@ -3,6 +3,7 @@
 import random
 import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallspan.llm import blocks, decontamination, line_dedup, near_dedup, sharding
-from tallspan.llm.common import spread_join, word_hash
-from tallspan.llm.components import components, joined
+from tallspan.llm.common import files_of, spread_join, with_checkpoints, word_hash
+from tallspan.llm.components import components, joined, settled
 
 SF = "/root/testdata/sf0.001"
 
@@ -410,6 +411,37 @@ def test_spread_join(spark):
     assert got.columns == ["k", "v", "w"]
 
 
+@pytest.fixture
+def many_small_partitions(spark):
+    """Partitions as on a cluster that doesn't put small ones together; gives a count of the files of new checkpoints."""
+    conf = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    with_checkpoints(spark)
+    folder = Path(spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:"))
+    before = set(folder.rglob("part-*"))
+    yield lambda: Counter(p.parent for p in set(folder.rglob("part-*")) - before)
+    for k, v in was.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_checkpoints_are_in_few_files(spark, many_small_partitions):
+    df = settled(spark.range(1000).repartition("id").select((F.col("id") * 3).alias("x")))
+    assert sorted(r.x for r in df.collect()) == list(range(0, 3000, 3))
+    assert [*many_small_partitions().values()] == [files_of(spark)] and files_of(spark) < 60
+
+
+@pytest.mark.parametrize("of", [lambda docs: line_dedup.dedup_lines(docs).select("doc_id", "text"), near_dedup.near_duplicates, near_dedup.one_of_each], ids=["lines", "near", "one"])
+def test_few_files_of_dedup(spark, real, many_small_partitions, of):
+    docs = real.select("doc_id", "text").limit(150)
+    cut = {r.doc_id: tuple(r)[1:] for r in of(docs).collect()}
+    files = many_small_partitions()
+    assert files and max(files.values()) <= files_of(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert cut == {r.doc_id: tuple(r)[1:] for r in of(docs).collect()}
+
+
 def test_line_dedup_long_lines(spark):
     """Longer lines may have more edits: each pair here goes up to that number and stays beyond it."""
     rng, rows, want = random.Random(4), [], {}
