@@ -9,14 +9,17 @@ The counts grow with the corpus and are nowhere whole. Documents are packed into
 hashes its distinct n-grams with their counts, packed, and the range answers with the sums over all blocks. An n-gram
 that is everywhere comes once from each block, so ranges are even however often a word occurs.
 
+Words are found, hashed and compared in numpy, all texts of an Arrow batch at once; a block's n-grams are sorted once,
+each in one number with its document, and scored in that order.
+
 Null and empty texts have no words: they fail the base rules and score 0. Without trusted documents all scores
 are 0. Repeated rows are counted as often as they occur. Extra columns are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, WordCodes, arrow_schema, flagged, mix, prepare, read, texts, with_checkpoints
+from .common import BROADCAST_ROWS, arrow_schema, flagged, mix, prepare, read, texts, with_checkpoints
 
 #: Bytes of text after which a block ends; there are as many ranges of hashes as this goes into all texts.
 BLOCK_BYTES = 32 << 20
@@ -36,57 +39,141 @@ SMOOTHING = 5.0
 #: others, those labelled otherwise -1.6 and -2.4 in the median.
 THRESHOLD = -0.4
 
-_SYMBOLS = re.compile(r"[#*$%&|<>]+")
-_BLANKS = re.compile(r"[ \t-\r]+")
+_SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
+#: Words up to this many bytes are hashed and compared eight bytes at a time, all words at once; longer ones one by one.
+_LONG = 256
+#: What is kept of eight bytes of which so many belong to a word.
+_KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Odd numbers that hashes are multiplied by.
+_ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
 
 def repeated_words(codes: np.ndarray) -> int:
-    """Words inside 3-word windows that occur twice or more."""
+    """Words inside 3-word windows that occur twice or more; codes number the words."""
     n = len(codes) - 2
     if n < 2:
         return 0
-    if codes.max() >= 1 << 21:
-        codes = np.unique(codes, return_inverse=True)[1]
-    if codes.max() < 1 << 21:
-        key = (codes[:-2] << 42) | (codes[1:-1] << 21) | codes[2:]
-    else:
-        pair = np.unique(codes[:-1] * (codes.max() + 1) + codes[1:], return_inverse=True)[1]
-        key = pair[:-1] * (codes.max() + 1) + codes[2:]
-    order = np.argsort(key, kind="stable")
+    pair = np.unique(codes[:-1] * (codes.max() + 1) + codes[1:], return_inverse=True)[1]
+    key = pair[:-1] * (codes.max() + 1) + codes[2:]
+    order = np.argsort(key)
     same = key[order[1:]] == key[order[:-1]]
-    if not same.any():
-        return 0
     twice = np.zeros(n + 2, bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
-    inside = twice.copy()
-    inside[1:] |= twice[:-1]
-    inside[2:] |= twice[:-2]
-    return int(inside.sum())
+    return int((twice | np.roll(twice, 1) | np.roll(twice, 2)).sum())
 
 
-def base_statistics(text: str, codes: np.ndarray) -> tuple[int, int, int, int]:
-    """word_chars, n_symbols, n_dup_lines, n_repeat_words; codes number the words."""
-    blanks = sum(map(len, _BLANKS.findall(text)))
-    seen: set[str] = set()
+def dup_lines(text: bytes) -> int:
+    """Lines with a word that equal an earlier line."""
+    seen: set[bytes] = set()
     dup = 0
-    if "\n" in text:
-        for line in text.split("\n"):
-            if line in seen:
-                dup += bool(line.encode().split())
-            else:
-                seen.add(line)
-    return len(text) - blanks, sum(map(len, _SYMBOLS.findall(text))), dup, repeated_words(codes)
-
-
-def grams(h: np.ndarray, bits: int) -> np.ndarray:
-    """The unigrams and bigrams of word hashes h, in so many bits."""
-    both = np.concatenate([mix(h), mix(h[:-1] * np.uint64(3) ^ h[1:] * np.uint64(0x9E3779B97F4A7C15))]) if len(h) else h
-    return both >> np.uint64(64 - bits)
-
-
-def zstd() -> pa.Codec:
-    return pa.Codec("zstd", 3)
+    for line in text.split(b"\n"):
+        if line in seen:
+            dup += bool(line.split())
+        else:
+            seen.add(line)
+    return dup
+
+
+class Words:
+    """The words of many texts, as bytes.split() finds them in each: start and length in data, the text a word is of.
+
+    borders has where each text begins in data, and the end; first has the number of its first word, and that of all words.
+    """
+
+    def __init__(self, texts: pa.Array):
+        texts = texts.cast(pa.large_string())
+        _, borders, data = texts.buffers()
+        borders = np.frombuffer(borders, np.int64, len(texts) + 1, 8 * texts.offset)
+        size = int(borders[-1] - borders[0])
+        self.borders, self.data = borders - borders[0], np.zeros(size + 8, np.uint8)
+        if size:
+            self.data[:size] = np.frombuffer(data, np.uint8, size, int(borders[0]))
+        data = self.data[:size]
+        inside = np.zeros(size + 2, bool)
+        inside[1:-1] = (data != 32) & (data - np.uint8(9) > 4)
+        here, full = inside[1:-1], self.borders[:-1] < self.borders[1:]
+        begins, ends = here & ~inside[:-2], here & ~inside[2:]
+        for mask, at in ((begins, self.borders[:-1][full]), (ends, self.borders[1:][full] - 1)):
+            mask[at] = here[at]  # a word does not go on into the next text
+        self.start = np.flatnonzero(begins)
+        self.length = np.flatnonzero(ends) + 1 - self.start
+        self.first = np.searchsorted(self.start, self.borders)
+        self.text = np.repeat(np.arange(len(texts)), np.diff(self.first))
+        self.hashes = self._hashes()
+
+    def _eight(self, words: np.ndarray, k: int) -> np.ndarray:
+        """The k-th eight bytes of words that have them, as numbers; zeros beyond a word's end."""
+        rows = np.lib.stride_tricks.sliding_window_view(self.data, 8)[self.start[words] + 8 * k]
+        return rows.view("<u8").ravel() & _KEPT[np.minimum(self.length[words] - 8 * k, 8)]
+
+    def _bytes(self, word: int) -> bytes:
+        return self.data[self.start[word] : self.start[word] + self.length[word]].tobytes()
+
+    def _hashes(self) -> np.ndarray:
+        """64 bits of each word that are the same everywhere."""
+        out, words = self.length.astype(np.uint64) * _ODD[0], np.arange(len(self.start))
+        for k in range(_LONG // 8):
+            words = words[self.length[words] > 8 * k]
+            out[words] = mix(out[words] ^ self._eight(words, k))
+        for word in words[self.length[words] > _LONG].tolist():
+            out[word] = int.from_bytes(blake2b(self._bytes(word), digest_size=8).digest(), "little")
+        return out
+
+    def equal(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether each word of a is the one of b at the same place."""
+        if (self.length[a] != self.length[b]).any():
+            return False
+        for k in range(_LONG // 8):
+            more = self.length[a] > 8 * k
+            a, b = a[more], b[more]
+            if (self._eight(a, k) != self._eight(b, k)).any():
+                return False
+        return all(self._bytes(x) == self._bytes(y) for x, y in zip(a.tolist(), b.tolist(), strict=True) if self.length[x] > _LONG)
+
+    def grams(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """The unigrams and bigrams of all texts, in so many bits, and which text each is of."""
+        h, joined = self.hashes, self.text[:-1] == self.text[1:]
+        two = (h[:-1] * np.uint64(3) ^ h[1:] * _ODD[0])[joined]
+        return mix(np.concatenate([h, two])) >> np.uint64(64 - bits), np.concatenate([self.text, self.text[1:][joined]])
+
+    def repeated(self) -> np.ndarray:
+        """Of each text, the words inside 3-word windows that occur twice or more in it.
+
+        Windows of equal hash are compared by their words; should any differ, the words are numbered instead.
+        """
+        h, twice = self.hashes, np.zeros(len(self.start), bool)
+        at = np.flatnonzero(self.text[:-2] == self.text[2:])
+        key = mix((h[at] * np.uint64(3) ^ h[at + 1] * _ODD[0]) + h[at + 2] * _ODD[1] ^ self.text[at].astype(np.uint64) * _ODD[2])
+        order = np.argsort(key)
+        key = key[order]
+        same = key[1:] == key[:-1]
+        a, b = at[order[:-1][same]], at[order[1:][same]]
+        if (self.text[a] != self.text[b]).any() or not all(self.equal(a + k, b + k) for k in range(3)):
+            return np.array([repeated_words(self._numbered(i)) for i in range(len(self.borders) - 1)], np.int64)
+        twice[a] = twice[b] = True
+        inside = twice.copy()
+        inside[1:] |= twice[:-1]
+        inside[2:] |= twice[:-2]
+        return np.diff(np.concatenate([[0], np.cumsum(inside)])[self.first])
+
+    def _numbered(self, text: int) -> np.ndarray:
+        numbers: dict[bytes, int] = {}
+        return np.array([numbers.setdefault(self._bytes(w), len(numbers)) for w in range(self.first[text], self.first[text + 1])], np.int64)
+
+    def statistics(self) -> tuple[np.ndarray, ...]:
+        """Of each text n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+        data = self.data[: self.borders[-1]]
+        more, symbols, ends = (np.diff(np.searchsorted(np.flatnonzero(x), self.borders)) for x in (data & 0xC0 == 0x80, _SYMBOL[data], data == 10))
+        dup = np.zeros(len(symbols), np.int64)
+        for i in np.flatnonzero(ends).tolist():
+            dup[i] = dup_lines(data[self.borders[i] : self.borders[i + 1]].tobytes())
+        n_bytes = np.diff(np.concatenate([[0], np.cumsum(self.length)])[self.first])
+        return np.diff(self.first), n_bytes - more, symbols, dup, self.repeated()
+
+
+def zstd(level: int = 3) -> pa.Codec:
+    return pa.Codec("zstd", level)
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -125,7 +212,7 @@ def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
         for b in batches:
             if b.num_rows:
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression=zstd())) as out:
+                with pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression=zstd(6))) as out:
                     out.write_batch(b)
                 yield pa.RecordBatch.from_pydict({"block": [first + size // block_bytes], "rows": [sink.getvalue().to_pybytes()]}, schema=target)
                 size += b.nbytes
@@ -155,9 +242,12 @@ def block_counts(blocks: DataFrame, ranges: int, bits: int) -> DataFrame:
     borders = np.array([-(-r * (1 << bits) // ranges) for r in range(ranges + 1)], np.uint64)
 
     def count(t: pa.Table) -> pa.Table:
-        codes, found, docs = WordCodes(), ([], []), documents_of(t)
-        for text, trusted in zip(docs.column("text").to_pylist(), docs.column("trusted").to_pylist(), strict=True):
-            found[trusted].append(grams(codes.hashes_of(text.encode().split()), bits))
+        found = ([], [])
+        for batch in documents_of(t).to_batches():
+            keys, text = Words(batch.column("text")).grams(bits)
+            trusted = batch.column("trusted").to_numpy(zero_copy_only=False)[text]
+            found[False].append(keys[~trusted])
+            found[True].append(keys[trusted])
         good_keys, n_good = counted(found[True])
         keys, raw = counted(found[False] + found[True])
         good = np.zeros(len(keys), np.uint64)
@@ -188,13 +278,50 @@ def answers(counts: DataFrame) -> DataFrame:
     return counts.groupBy("range").applyInArrow(add, _COUNTS_DDL)
 
 
-def score(at: np.ndarray, n: np.ndarray, trusted: bool, raw: np.ndarray, good: np.ndarray, share: float) -> float:
-    """Mean log ratio of a document whose distinct n-grams, at these places of the counts raw and good, occur n times in it."""
-    if not share or not len(at):
-        return 0.0
-    others = raw[at].astype(np.float64) - n
-    ratio = np.log((good[at].astype(np.float64) - n * trusted + SMOOTHING * share) / (share * (others + SMOOTHING)))
-    return float(ratio @ n / n.sum())
+#: N-grams of a block that are scored at a time, at least, but for its last ones.
+_SCORED = 1 << 18
+
+
+def scores(keys: list[np.ndarray], of: list[np.ndarray], bits: int, trusted: np.ndarray, sums: list[tuple[bytes, bytes]], share: float) -> np.ndarray:
+    """Mean log ratio of each document of a block; keys are all its n-grams, of the documents they are in. keys is emptied.
+
+    N-gram and document are sorted as one number. sums has the packed counts n_raw and n_trusted of the block's distinct
+    n-grams, range by range.
+    """
+    n_docs, each = len(trusted), np.concatenate([np.zeros(0, np.uint64), *keys])
+    keys.clear()
+    shift, filled = np.uint64(n_docs.bit_length()), 0
+    if bits + shift > 64:  # the n-grams are numbered in order instead
+        each = np.unique(each, return_inverse=True)[1].astype(np.uint64)
+    each <<= shift
+    for docs in of:
+        each[filled : filled + len(docs)] |= docs
+        filled += len(docs)
+    each.sort()
+    step = each[1:] ^ each[:-1]
+    step >>= shift
+    starts = np.concatenate([[0], np.flatnonzero(step) + 1, [len(each)]]) if len(each) else np.zeros(1, np.int64)
+    del step
+    sizes = [int.from_bytes(raw[:8], "little") for raw, _ in sums]
+    if sum(sizes) != len(starts) - 1:
+        raise ValueError("a block's n-grams changed between two readings of its documents")
+    out, n_grams, done, waiting = np.zeros(n_docs), np.zeros(n_docs, np.int64), 0, []
+    for i, size in enumerate(sizes):
+        waiting.append(sums[i])
+        if (n := sum(int.from_bytes(raw[:8], "little") for raw, _ in waiting)) < _SCORED and i + 1 < len(sizes):
+            continue
+        raw, good = (np.concatenate([unpacked(x) for x in c]).astype(np.float64) for c in zip(*waiting, strict=True))
+        part = each[starts[done] : starts[done + n]]
+        first = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
+        own, part = np.diff(first, append=len(part)), part[first]
+        doc, key = (part & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64), part >> shift
+        key = np.cumsum(np.diff(key, prepend=key[:1]) != 0)
+        n_grams += np.bincount(doc, own, n_docs).astype(np.int64)
+        if share:
+            ratio = np.log((good[key] - own * trusted[doc] + SMOOTHING * share) / (share * (raw[key] - own + SMOOTHING)))
+            out += np.bincount(doc, ratio * own, n_docs)
+        done, waiting = done + n, []
+    return out / np.maximum(n_grams, 1)
 
 
 _JUDGED = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, score double, kept boolean"
@@ -213,22 +340,20 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, blo
         blocks = blocks.checkpoint()
 
     def of_block(t: pa.Table, sums: pa.Table) -> pa.Table:
-        codes, found, rows, docs = WordCodes(), [], [], documents_of(t)
+        docs, rows, keys, of, n_docs = documents_of(t), [], [], [], 0
         for batch in docs.to_batches():
-            for text in batch.column("text").to_pylist():
-                of = codes.of(text.encode().split())
-                found.append(np.unique(grams(codes.hashes[of], bits), return_counts=True))
-                rows.append((len(of), *base_statistics(text, of)))
-        keys = counted([k for k, _ in found])[0]
-        order = np.argsort(sums.column("range").to_numpy())
-        raw, good = (np.concatenate([np.zeros(0, np.uint64), *(unpacked(sums.column(c)[int(i)].as_py()) for i in order)]) for c in ("n_raw", "n_trusted"))
-        if len(keys) != len(raw):
-            raise ValueError("a block's n-grams changed between two readings of its documents")
-        out = dict(zip(target.names[1:6], map(list, zip(*rows, strict=True)), strict=True))
-        out["base_failed"] = [r[0] < 50 or 100 * r[4] > 50 * r[0] for r in rows]
-        flags = docs.column("trusted").to_pylist()
-        out["score"] = [score(np.searchsorted(keys, k), n, f, raw, good, share) for (k, n), f in zip(found, flags, strict=True)]
-        out["kept"] = [not f and s >= threshold for f, s in zip(out["base_failed"], out["score"], strict=True)]
+            words = Words(batch.column("text"))
+            rows.append(words.statistics())
+            found, text = words.grams(bits)
+            keys.append(found)
+            of.append((text + n_docs).astype(np.uint32))
+            n_docs += batch.num_rows
+        out = dict(zip(target.names[1:6], map(np.concatenate, zip(*rows, strict=True)), strict=True))
+        out["base_failed"] = (out["n_words"] < 50) | (100 * out["n_repeat_words"] > 50 * out["n_words"])
+        order = np.argsort(sums.column("range").to_numpy()).tolist()
+        packs = [(sums.column("n_raw")[i].as_py(), sums.column("n_trusted")[i].as_py()) for i in order]
+        out["score"] = scores(keys, of, bits, docs.column("trusted").to_numpy(), packs, share)
+        out["kept"] = ~out["base_failed"] & (out["score"] >= threshold)
         return pa.Table.from_pydict({"doc_id": docs.column("doc_id").to_pylist()} | out, schema=target)
 
     sums = answers(block_counts(blocks, -(-size // block_bytes) or 1, bits))
