@@ -18,7 +18,7 @@ are 0. Repeated rows are counted as often as they occur. Extra columns are not r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -44,6 +44,8 @@ _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 _LONG = 256
 #: What is kept of eight bytes of which so many belong to a word.
 _KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Numbers that are worked out at a time, so that what is used on the way stays small however long a text is.
+_SLICE = 1 << 16
 #: Odd numbers that hashes are multiplied by.
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
@@ -75,6 +77,14 @@ def dup_lines(text: bytes) -> int:
     return dup
 
 
+def sliced(work: Callable[[slice], np.ndarray], n: int) -> np.ndarray:
+    """n numbers, of which work gives those of a slice."""
+    out = np.empty(n, np.uint64)
+    for a in range(0, n, _SLICE):
+        out[a : a + _SLICE] = work(slice(a, min(a + _SLICE, n)))
+    return out
+
+
 class Words:
     """The words of many texts, as bytes.split() finds them in each: start and length in data, the text a word is of.
 
@@ -99,8 +109,8 @@ class Words:
         self.start = np.flatnonzero(begins)
         self.length = np.flatnonzero(ends) + 1 - self.start
         self.first = np.searchsorted(self.start, self.borders)
-        self.text = np.repeat(np.arange(len(texts)), np.diff(self.first))
-        self.hashes = self._hashes()
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(self.first))
+        self.hashes = sliced(self._hashes, len(self.start))
 
     def _eight(self, words: np.ndarray, k: int) -> np.ndarray:
         """The k-th eight bytes of words that have them, as numbers; zeros beyond a word's end."""
@@ -110,14 +120,17 @@ class Words:
     def _bytes(self, word: int) -> bytes:
         return self.data[self.start[word] : self.start[word] + self.length[word]].tobytes()
 
-    def _hashes(self) -> np.ndarray:
-        """64 bits of each word that are the same everywhere."""
-        out, words = self.length.astype(np.uint64) * _ODD[0], np.arange(len(self.start))
+    def _hashes(self, part: slice) -> np.ndarray:
+        """64 bits of each word of a part that are the same everywhere."""
+        first, length = part.start, self.length[part]
+        out, words = length.astype(np.uint64) * _ODD[0], np.arange(len(length))
         for k in range(_LONG // 8):
-            words = words[self.length[words] > 8 * k]
-            out[words] = mix(out[words] ^ self._eight(words, k))
-        for word in words[self.length[words] > _LONG].tolist():
-            out[word] = int.from_bytes(blake2b(self._bytes(word), digest_size=8).digest(), "little")
+            words = words[length[words] > 8 * k]
+            if not len(words):
+                return out
+            out[words] = mix(out[words] ^ self._eight(words + first, k))
+        for word in words[length[words] > _LONG].tolist():
+            out[word] = int.from_bytes(blake2b(self._bytes(word + first), digest_size=8).digest(), "little")
         return out
 
     def equal(self, a: np.ndarray, b: np.ndarray) -> bool:
@@ -133,9 +146,10 @@ class Words:
 
     def grams(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """The unigrams and bigrams of all texts, in so many bits, and which text each is of."""
-        h, joined = self.hashes, self.text[:-1] == self.text[1:]
-        two = (h[:-1] * np.uint64(3) ^ h[1:] * _ODD[0])[joined]
-        return mix(np.concatenate([h, two])) >> np.uint64(64 - bits), np.concatenate([self.text, self.text[1:][joined]])
+        h, second = self.hashes, np.flatnonzero(self.text[:-1] == self.text[1:]) + 1
+        one = sliced(lambda s: mix(h[s]) >> np.uint64(64 - bits), len(h))
+        two = sliced(lambda s: mix(h[second[s] - 1] * np.uint64(3) ^ h[second[s]] * _ODD[0]) >> np.uint64(64 - bits), len(second))
+        return np.concatenate([one, two]), np.concatenate([self.text, self.text[second]])
 
     def repeated(self) -> np.ndarray:
         """Of each text, the words inside 3-word windows that occur twice or more in it.
@@ -144,7 +158,12 @@ class Words:
         """
         h, twice = self.hashes, np.zeros(len(self.start), bool)
         at = np.flatnonzero(self.text[:-2] == self.text[2:])
-        key = mix((h[at] * np.uint64(3) ^ h[at + 1] * _ODD[0]) + h[at + 2] * _ODD[1] ^ self.text[at].astype(np.uint64) * _ODD[2])
+
+        def windows(s: slice) -> np.ndarray:
+            i = at[s]
+            return mix((h[i] * np.uint64(3) ^ h[i + 1] * _ODD[0]) + h[i + 2] * _ODD[1] ^ self.text[i].astype(np.uint64) * _ODD[2])
+
+        key = sliced(windows, len(at))
         order = np.argsort(key)
         key = key[order]
         same = key[1:] == key[:-1]
@@ -248,6 +267,7 @@ def block_counts(blocks: DataFrame, ranges: int, bits: int) -> DataFrame:
             trusted = batch.column("trusted").to_numpy(zero_copy_only=False)[text]
             found[False].append(keys[~trusted])
             found[True].append(keys[trusted])
+            del keys, text, trusted
         good_keys, n_good = counted(found[True])
         keys, raw = counted(found[False] + found[True])
         good = np.zeros(len(keys), np.uint64)
@@ -278,7 +298,7 @@ def answers(counts: DataFrame) -> DataFrame:
     return counts.groupBy("range").applyInArrow(add, _COUNTS_DDL)
 
 
-#: N-grams of a block that are scored at a time, at least, but for its last ones.
+#: Distinct n-grams of a block that are scored at a time.
 _SCORED = 1 << 18
 
 
@@ -302,25 +322,22 @@ def scores(keys: list[np.ndarray], of: list[np.ndarray], bits: int, trusted: np.
     step >>= shift
     starts = np.concatenate([[0], np.flatnonzero(step) + 1, [len(each)]]) if len(each) else np.zeros(1, np.int64)
     del step
-    sizes = [int.from_bytes(raw[:8], "little") for raw, _ in sums]
-    if sum(sizes) != len(starts) - 1:
+    raw, good = (np.concatenate([np.zeros(0, np.uint64), *map(unpacked, c)]) for c in zip(*sums, strict=True)) if sums else np.zeros((2, 0))
+    if len(raw) != len(starts) - 1:
         raise ValueError("a block's n-grams changed between two readings of its documents")
-    out, n_grams, done, waiting = np.zeros(n_docs), np.zeros(n_docs, np.int64), 0, []
-    for i, size in enumerate(sizes):
-        waiting.append(sums[i])
-        if (n := sum(int.from_bytes(raw[:8], "little") for raw, _ in waiting)) < _SCORED and i + 1 < len(sizes):
-            continue
-        raw, good = (np.concatenate([unpacked(x) for x in c]).astype(np.float64) for c in zip(*waiting, strict=True))
-        part = each[starts[done] : starts[done + n]]
+    out, n_grams = np.zeros(n_docs), np.zeros(n_docs, np.int64)
+    for a in range(0, len(raw), _SCORED):
+        b = min(a + _SCORED, len(raw))
+        part = each[starts[a] : starts[b]]
         first = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
         own, part = np.diff(first, append=len(part)), part[first]
         doc, key = (part & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64), part >> shift
-        key = np.cumsum(np.diff(key, prepend=key[:1]) != 0)
+        key = np.cumsum(np.diff(key, prepend=key[:1]) != 0) + a
         n_grams += np.bincount(doc, own, n_docs).astype(np.int64)
         if share:
-            ratio = np.log((good[key] - own * trusted[doc] + SMOOTHING * share) / (share * (raw[key] - own + SMOOTHING)))
+            others = raw[key].astype(np.float64) - own
+            ratio = np.log((good[key].astype(np.float64) - own * trusted[doc] + SMOOTHING * share) / (share * (others + SMOOTHING)))
             out += np.bincount(doc, ratio * own, n_docs)
-        done, waiting = done + n, []
     return out / np.maximum(n_grams, 1)
 
 
@@ -348,6 +365,7 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, blo
             keys.append(found)
             of.append((text + n_docs).astype(np.uint32))
             n_docs += batch.num_rows
+            del words, found, text  # before the next ones take as much again
         out = dict(zip(target.names[1:6], map(np.concatenate, zip(*rows, strict=True)), strict=True))
         out["base_failed"] = (out["n_words"] < 50) | (100 * out["n_repeat_words"] > 50 * out["n_words"])
         order = np.argsort(sums.column("range").to_numpy()).tolist()
